@@ -6,13 +6,18 @@ Fixed values: column names, order and types are the data contract of the three l
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(columns: str) -> T.StructType:
+    """Works without a session, unlike DDL parsing."""
+    schema = T.StructType()
+    for column in columns.split(", "):
+        name, kind = column.split(" ")
+        schema.add(name, kind)
+    return schema
 
 
 CUSTOMERS = _schema(
     "customer_id string, name string, email string, phone string, address string, "
-    "credit_score int, join_date date, last_update timestamp, customer_type string"
+    "credit_score integer, join_date date, last_update timestamp, customer_type string"
 )
 BRANCHES = _schema(
     "branch_id string, branch_name string, location string, timezone string, currency string"
@@ -23,9 +28,9 @@ TRANSACTIONS = _schema(
 )
 
 SILVER_CUSTOMERS = _schema(
-    "customer_id string, name string, email string, phone bigint, address string, "
-    "credit_score int, join_date date, last_update string, customer_type string, "
-    "year int, domain string, postal_code int"
+    "customer_id string, name string, email string, phone long, address string, "
+    "credit_score integer, join_date date, last_update string, customer_type string, "
+    "year integer, domain string, postal_code integer"
 )
 SILVER_BRANCHES = _schema(
     "branch_id string, branch_name string, location string, timezone string, currency string, "
@@ -34,7 +39,7 @@ SILVER_BRANCHES = _schema(
 SILVER_TRANSACTIONS = _schema(
     "transaction_id string, customer_id string, branch_id string, channel string, "
     "transaction_type string, amount double, currency string, timestamp string, status string, "
-    "year int, month int, Amount_USD double"
+    "year integer, month integer, Amount_USD double"
 )
 
 RATES = _schema("currency string, rate decimal(10,4)")

@@ -15,7 +15,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, header=header)
+    """Values are written with their outer blanks, which the writer strips unless told not to."""
+    df.write.mode(mode).csv(
+        path, header=header, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def lake_uri(lake: LakeConfig, path: str = "") -> str:

@@ -67,7 +67,7 @@ SELECT * FROM (VALUES ('USD', 10000), ('EUR', 9200), ('GBP', 7900), ('AUD', 1520
 """
 
 PARTS["gazetteer"] = """
-SELECT upper(trim(n_name)) AS place, n_nationkey * 3125 / 1000.0 - 40 AS lat,
+SELECT upper(trim(n_name)) AS place, n_nationkey * 3125 - 40000 AS thousandths,
        n_nationkey * 7 - 90 AS lon
 FROM nation WHERE n_nationkey % 9 <> 4
 """
@@ -134,7 +134,9 @@ FROM raw_branches WHERE timezone IS NOT NULL
 """
 
 PARTS["branch"] = """
-SELECT b.*, round(lat + 1e-9, 2) AS latitude, CAST(lon AS DOUBLE) AS longitude
+SELECT b.*, CAST(sign(thousandths) * ((abs(thousandths) + 5) // 10) AS DOUBLE)
+           / CAST(100 AS DOUBLE) AS latitude,
+       CAST(lon AS DOUBLE) AS longitude
 FROM cleaned_branches b LEFT JOIN gazetteer ON b.location = place
 """
 
@@ -271,7 +273,7 @@ WHERE coalesce(p, u, w, v) IS NOT NULL
 
 def numbered(prefix: str, order: str) -> str:
     number = f"CAST(row_number() OVER (ORDER BY {order}) + 1000 AS VARCHAR)"
-    return f"'{prefix}' || lpad({number}, greatest(4, length({number})), '0')"
+    return f"'{prefix}' || lpad({number}, CAST(greatest(4, length({number})) AS INTEGER), '0')"
 
 
 CHANNEL_ORDER = 'PARTITION BY channel ORDER BY "timestamp", transaction_id'
@@ -474,5 +476,87 @@ QUERIES = {
 }
 
 
+# The columns of the bootstrapped tables.
+LAYER_COLUMNS = {
+    ("bronze", "customers_raw", "raw_customers"): "customer_id string, name string, email string, "
+    "phone string, address string, credit_score int, join_date date, last_update timestamp, "
+    "customer_type string",
+    ("bronze", "branches_raw", "raw_branches"): "branch_id string, branch_name string, "
+    "location string, timezone string, currency string",
+    ("bronze", "transactions_raw", "raw_transactions"): "transaction_id string, "
+    "customer_id string, branch_id string, channel string, transaction_type string, "
+    "amount double, currency string, timestamp string, status string",
+    ("silver", "cat_customers", "cust"): "customer_id string, name string, email string, "
+    "phone bigint, address string, credit_score int, join_date date, last_update string, "
+    "customer_type string, year int, domain string, postal_code int",
+    ("silver", "cat_branches", "branch"): "branch_id string, branch_name string, "
+    "location string, timezone string, currency string, latitude double, longitude double",
+    ("silver", "cat_transactions", "txn"): "transaction_id string, customer_id string, "
+    "branch_id string, channel string, transaction_type string, amount double, currency string, "
+    "timestamp string, status string, year int, month int, Amount_USD double",
+}
+
+
+def catalog_bootstrap() -> str:
+    parts = []
+    for (layer, table, source), columns in LAYER_COLUMNS.items():
+        pairs = [column.split(" ") for column in columns.split(", ")]
+        values = ", ".join(f"('{name}', '{kind}')" for name, kind in pairs)
+        parts.append(
+            f"SELECT '{layer}' AS layer, '{table}' AS table_name, column_name, data_type, row_count "
+            f"FROM (VALUES {values}) AS c(column_name, data_type), "
+            f"(SELECT count(*) AS row_count FROM {source})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def publish_gold() -> str:
+    def groups(keys: str, source: str = "txn") -> str:
+        return f"SELECT DISTINCT {keys} FROM {source}"
+
+    located = "txn LEFT JOIN branch USING (branch_id)"
+    tables = {
+        "gb_customer_segmentation_table": "SELECT * FROM members",
+        "gb_fraud_flags_table": "SELECT * FROM flags",
+        "segment_count_table": groups("segment_name", "members"),
+        "customer_segmentation": groups("customer_type", "txn JOIN cust USING (customer_id)"),
+        "customer_aggregations_table": groups("customer_id"),
+        "currency_analysis": groups("currency"),
+        "branch_aggregations_table": groups("branch_id"),
+        "transaction_with_location_table": "SELECT * FROM txn",
+        "location_aggregations_table": groups("location", located),
+        "timezone_aggregations_table": groups("timezone", located),
+        "currency_aggregations_table": groups("currency"),
+        "channel_aggregations_table": groups("channel"),
+        "transaction_type_aggregations_table": groups("transaction_type"),
+        "year_month_aggregations_table": groups('"year", "month"'),
+        "date_aggregations_table": groups('substr("timestamp", 1, 10)'),
+        "status_aggregations_table": groups("status"),
+        "channel_type_aggregations_table": groups("channel, transaction_type"),
+        "customer_segments_table": groups("customer_id"),
+        "last_transaction_table": groups("customer_id"),
+        "churn_table": groups("customer_id"),
+        "peak_off_peak_table": groups(
+            """CAST(substr("timestamp", 12, 2) AS INTEGER) BETWEEN 8 AND 18"""
+        ),
+        "transaction_frequency_table": groups(
+            "CASE WHEN usd <= 5000 THEN 1 WHEN usd <= 10000 THEN 2 WHEN usd <= 50000 THEN 3 "
+            "WHEN usd <= 100000 THEN 4 WHEN usd <= 500000 THEN 5 WHEN usd <= 1000000 THEN 6 "
+            "ELSE 7 END"
+        ),
+        "median_table": groups("channel"),
+        "percentage_table": groups("channel"),
+        "rolling_avg_table": "SELECT * FROM txn",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({rows})"
+        for name, rows in tables.items()
+    )
+
+
+QUERIES["catalog_bootstrap"] = catalog_bootstrap()
+QUERIES["publish_gold"] = publish_gold()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_parts(query) for name, query in QUERIES.items()}
