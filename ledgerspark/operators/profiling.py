@@ -1,36 +1,63 @@
-"""Column profiles as long-form frames, one pass over the data."""
+"""Column profiles as long-form frames."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def column_stats(
-    name: str, kind: T.DataType, approx: bool, relative_error: float, distinct: bool = True
-) -> dict[str, Column]:
-    """Aggregates of one column; the numeric ones are null for other types."""
+STATS = ("non_null_count", "mean", "stddev", "min", "max")
+
+
+def column_stats(name: str, kind: T.DataType) -> dict[str, Column]:
+    """Aggregates of one column; all but the count are null for types that are not numeric."""
     numeric = isinstance(kind, T.NumericType)
     value = F.col(name).cast("double") if numeric else None
-    unique = F.approx_count_distinct(name, relative_error) if approx else F.count_distinct(name)
     stats = {"non_null_count": F.count(name)}
-    if distinct:
-        stats["unique_count"] = unique
     for out, fn in (("mean", F.avg), ("stddev", F.stddev), ("min", F.min), ("max", F.max)):
         stats[out] = fn(value) if numeric else F.lit(None).cast("double")
     return stats
 
 
-def unfold_stats(summary: DataFrame, columns: list[str], stats: list[str]) -> DataFrame:
-    """One row of ``<column>__<stat>`` values to one row per column."""
+def approx_unique(name: str, relative_error: float) -> dict[str, Column]:
+    return {"unique_count": F.approx_count_distinct(name, relative_error)}
+
+
+def summarise(
+    df: DataFrame, stats_of: Callable[[T.StructField], dict[str, Column]], stats: Sequence[str]
+) -> DataFrame:
+    """One aggregate over the frame, turned to one row per column."""
+    aggregates = [F.count("*").alias("total_count")]
+    for field in df.schema.fields:
+        for stat, value in stats_of(field).items():
+            aggregates.append(value.alias(f"{field.name}__{stat}"))
     rows = [
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}__{s}`").alias(s) for s in stats])
-        for c in columns
+        for c in df.columns
     ]
-    long = summary.select("total_count", F.inline(F.array(*rows)))
-    after = ["null_count", *[s for s in stats if s != "non_null_count"]]
-    return long.withColumn("null_count", F.col("total_count") - F.col("non_null_count")).select(
-        "column_name", "total_count", "non_null_count", *after
-    )
+    nulls = (F.col("total_count") - F.col("non_null_count")).alias("null_count")
+    long = df.agg(*aggregates).select("total_count", F.inline(F.array(*rows)))
+    rest = [s for s in stats if s != "non_null_count"]
+    return long.select("column_name", "total_count", "non_null_count", nulls, *rest)
+
+
+def exact_unique(df: DataFrame) -> DataFrame:
+    """Distinct non-null values per column.
+
+    Columns are stacked into (column, value) pairs that combine on the map side, so a row of the
+    shuffle is one value and not the whole width of the table.
+    """
+    texts = []
+    for field in df.schema.fields:
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
+        texts.append(value.cast("string"))
+    pairs = df.select(F.posexplode(F.array(*texts)).alias("place", "value"))
+    distinct = pairs.filter(F.col("value").isNotNull()).distinct()
+    name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("place"))
+    return distinct.groupBy(name.alias("column_name")).agg(F.count("*").alias("unique_count"))
 
 
 def data_summary(
@@ -38,17 +65,29 @@ def data_summary(
 ) -> DataFrame:
     """Rows, non-nulls, nulls and distinct values per column; moments of the numeric ones.
 
-    Exact distinct counts expand every row once per column before the map-side combine;
-    ``approx`` keeps one fixed-size sketch per column instead and is the choice for wide tables.
+    Exact distinct counts read the frame a second time and shuffle its distinct values; ``approx``
+    keeps one fixed-size sketch per column in the one pass.
     """
-    aggregates, names = [F.count("*").alias("total_count")], []
-    for field in df.schema.fields:
-        for stat, value in column_stats(field.name, field.dataType, approx, relative_error).items():
-            if digits is not None and stat in ("mean", "stddev"):
-                value = F.round(value, digits)
-            aggregates.append(value.alias(f"{field.name}__{stat}"))
-            names.append(stat)
-    return unfold_stats(df.agg(*aggregates), df.columns, list(dict.fromkeys(names)))
+
+    def stats_of(field: T.StructField) -> dict[str, Column]:
+        stats = column_stats(field.name, field.dataType)
+        return {**stats, **approx_unique(field.name, relative_error)} if approx else stats
+
+    if approx:
+        summary = summarise(df, stats_of, [*STATS, "unique_count"])
+    else:
+        summary = summarise(df, stats_of, STATS).join(exact_unique(df), "column_name", "left")
+    moments = [F.round(c, digits).alias(c) if digits is not None else c for c in STATS[1:3]]
+    return summary.select(
+        "column_name",
+        "total_count",
+        "non_null_count",
+        "null_count",
+        F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
+        *moments,
+        "min",
+        "max",
+    )
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -46,11 +46,11 @@ def silver_branches(
 
 
 def finish_transactions(cleaned: DataFrame, rates: DataFrame) -> DataFrame:
-    """Case, text timestamps, date parts and USD amounts; the same for batch and stream."""
+    """Case, date parts, text timestamps and USD amounts; the same for batch and stream."""
     return (
         cleaned.transform(capitalize_string_data)
-        .transform(format_dates, timestamp_columns=["timestamp"])
         .transform(extract_date_parts, "timestamp", Month=True)
+        .transform(format_dates, timestamp_columns=["timestamp"])
         .transform(convert_currency_to_usd, rates)
         .select(*SILVER_TRANSACTIONS.names)
     )

@@ -33,3 +33,13 @@ def configure_lake(spark: SparkSession, lake: LakeConfig) -> str:
         raise KeyError(f"environment variable {lake.key_env} is not set")
     spark.conf.set(f"fs.azure.account.key.{lake.account}.dfs.core.windows.net", key)
     return lake_uri(lake)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than the cluster has cores; leave any other alone.
+
+    A table in one file with one row group is read by one task, and all work up to the next
+    shuffle would stay in it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerspark.operators.profiling import column_stats, unfold_stats
+from ledgerspark.operators.profiling import STATS, approx_unique, column_stats, summarise
 
 
 def streaming_data_summary(df: DataFrame, relative_error: float = 0.05) -> DataFrame:
     """Row count, and per column non-nulls, approximate distinct values and moments."""
     if not df.isStreaming:
         raise ValueError("The provided DataFrame is not a streaming DataFrame.")
-    aggregates = [F.count("*").alias("total_count")]
-    for field in df.schema.fields:
-        stats = column_stats(field.name, field.dataType, True, relative_error)
-        aggregates += [value.alias(f"{field.name}__{stat}") for stat, value in stats.items()]
-    stats = ["non_null_count", "unique_count", "mean", "stddev", "min", "max"]
-    return unfold_stats(df.agg(*aggregates), df.columns, stats)
+
+    def stats_of(field: T.StructField) -> dict[str, Column]:
+        exact = column_stats(field.name, field.dataType)
+        return {**exact, **approx_unique(field.name, relative_error)}
+
+    return summarise(df, stats_of, [*STATS, "unique_count"])
 
 
 def start_summary(

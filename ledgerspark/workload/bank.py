@@ -15,6 +15,7 @@ from ledgerspark.plans.gold import Silver
 from ledgerspark.plans.silver import silver_branches, silver_customers, silver_transactions
 from ledgerspark.schemas import BRANCHES, CUSTOMERS, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
+from ledgerspark.sources.files import spread_scan
 
 # Units per USD.
 RATES = {"USD": "1.0000", "EUR": "0.9200", "GBP": "0.7900", "AUD": "1.5200"}
@@ -42,8 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _id(prefix: str, key: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+def _id(prefix: str, key: Column) -> Column:
+    return F.concat(F.lit(prefix), key.cast("string"))
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -69,7 +70,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         age.cast("int"), F.lit(0), (k % 1440).cast("int")
     )
     return rows.select(
-        _id("C", k, 10).alias("customer_id"),
+        _id("C", k).alias("customer_id"),
         F.when(_every(k, 3), F.concat(F.lit("  "), "c_name")).otherwise(F.col("c_name")).alias("name"),
         F.when(_every(k, 11), "no-at-sign")
         .otherwise(F.concat(F.lit("user"), k, F.lit("@bank"), k % 5, F.lit(".example")))
@@ -97,7 +98,7 @@ def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            _id("B", k, 6).alias("branch_id"),
+            _id("B", k).alias("branch_id"),
             F.col("s_name").alias("branch_name"),
             F.when(_every(k, 23, 5), F.lit(None).cast("string"))
             .when(_every(k, 4, 1), F.concat("n_name", F.lit("  ")))
@@ -126,12 +127,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return chain.otherwise(F.col(column))
 
     return (
-        table(spark, sf_dir, "lineitem")
+        spread_scan(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            _id("T", k, 14).alias("transaction_id"),
-            _id("C", F.col("o_custkey"), 10).alias("customer_id"),
-            _id("B", F.col("l_suppkey"), 6).alias("branch_id"),
+            _id("T", k).alias("transaction_id"),
+            _id("C", F.col("o_custkey")).alias("customer_id"),
+            _id("B", F.col("l_suppkey")).alias("branch_id"),
             F.when(~_every(k, 89), named("l_returnflag", channel)).alias("channel"),
             named("o_orderstatus", kind).alias("transaction_type"),
             F.when(~_every(k, 101), F.col("l_extendedprice")).alias("amount"),
@@ -150,10 +151,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw transactions in USD; small amounts and all hours of the day."""
     k = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
-        _id("T", k, 14).alias("transaction_id"),
-        _id("C", F.col("user_id"), 10).alias("customer_id"),
-        F.lit("B000000").alias("branch_id"),
+    return spread_scan(table(spark, sf_dir, "events")).select(
+        _id("T", k).alias("transaction_id"),
+        _id("C", F.col("user_id")).alias("customer_id"),
+        F.lit("B0").alias("branch_id"),
         F.col("event_type").alias("channel"),
         F.lit("payment").alias("transaction_type"),
         F.when(~_every(k, 101), F.col("value")).alias("amount"),
@@ -165,8 +166,8 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their value as the USD amount."""
-    return table(spark, sf_dir, "events").select(
-        _id("C", F.col("user_id"), 10).alias("customer_id"),
+    return spread_scan(table(spark, sf_dir, "events")).select(
+        _id("C", F.col("user_id")).alias("customer_id"),
         F.col("event_type").alias("channel"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.col("value").alias("Amount_USD"),
@@ -194,6 +195,23 @@ def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     )
 
 
+SILVER_NAMES = ("customers", "branches", "transactions")
+
+
+def build_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Write the three silver tables to a new folder and return it."""
+    path = scratch_path(spark, "silver")
+    raw = bronze(spark, sf_dir)
+    frames = (
+        silver_customers(raw.customers, CLEANING),
+        silver_branches(raw.branches, gazetteer(spark, sf_dir), CLEANING),
+        silver_transactions(raw.transactions, rates(spark), CLEANING),
+    )
+    for name, frame in zip(SILVER_NAMES, frames):
+        frame.write.parquet(f"{path}/{name}")
+    return path
+
+
 _silver_paths: dict[tuple[str, str], str] = {}
 
 
@@ -201,15 +219,5 @@ def silver(spark: SparkSession, sf_dir: str) -> Silver:
     """The silver tables, written on first use in a session; gold queries read them."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _silver_paths:
-        path = scratch_path(spark, "silver")
-        raw = bronze(spark, sf_dir)
-        frames = {
-            "customers": silver_customers(raw.customers, CLEANING),
-            "branches": silver_branches(raw.branches, gazetteer(spark, sf_dir), CLEANING),
-            "transactions": silver_transactions(raw.transactions, rates(spark), CLEANING),
-        }
-        for name, frame in frames.items():
-            frame.write.parquet(f"{path}/{name}")
-        _silver_paths[key] = path
-    path = _silver_paths[key]
-    return Silver(*[spark.read.parquet(f"{path}/{n}") for n in ("customers", "branches", "transactions")])
+        _silver_paths[key] = build_silver(spark, sf_dir)
+    return Silver(*[spark.read.parquet(f"{_silver_paths[key]}/{name}") for name in SILVER_NAMES])

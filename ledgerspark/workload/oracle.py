@@ -8,9 +8,9 @@ from __future__ import annotations
 PARTS: dict[str, str] = {}
 
 PARTS["raw_transactions"] = """
-SELECT 'T' || lpad(CAST(k AS VARCHAR), 14, '0') AS transaction_id,
-       'C' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS customer_id,
-       'B' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS branch_id,
+SELECT 'T' || k AS transaction_id,
+       'C' || o_custkey AS customer_id,
+       'B' || l_suppkey AS branch_id,
        CASE WHEN k % 89 = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'ATM'
             WHEN l_returnflag = 'N' THEN ' web' WHEN l_returnflag = 'R' THEN 'mobile '
             ELSE l_returnflag END AS channel,
@@ -30,7 +30,7 @@ JOIN orders ON l_orderkey = o_orderkey
 """
 
 PARTS["raw_customers"] = """
-SELECT 'C' || lpad(CAST(k AS VARCHAR), 10, '0') AS customer_id,
+SELECT 'C' || k AS customer_id,
        CASE WHEN k % 3 = 0 THEN '  ' || c_name ELSE c_name END AS name,
        CASE WHEN k % 11 = 0 THEN 'no-at-sign'
             ELSE 'user' || k || '@bank' || (k % 5) || '.example' END AS email,
@@ -51,7 +51,7 @@ JOIN (VALUES (0), (1)) AS ages(age) ON age = 0 OR k % 29 = 0
 """
 
 PARTS["raw_branches"] = """
-SELECT 'B' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS branch_id,
+SELECT 'B' || s_suppkey AS branch_id,
        s_name AS branch_name,
        CASE WHEN s_suppkey % 23 = 5 THEN NULL WHEN s_suppkey % 4 = 1 THEN n_name || '  '
             ELSE n_name END AS location,
@@ -141,8 +141,8 @@ FROM cleaned_branches b LEFT JOIN gazetteer ON b.location = place
 """
 
 PARTS["event_txn"] = """
-SELECT 'T' || lpad(CAST(event_id AS VARCHAR), 14, '0') AS transaction_id,
-       'C' || lpad(CAST(user_id AS VARCHAR), 10, '0') AS customer_id,
+SELECT 'T' || event_id AS transaction_id,
+       'C' || user_id AS customer_id,
        event_type AS channel, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
        value, CAST(round(value * 100) AS BIGINT) AS usd
 FROM events
@@ -444,7 +444,7 @@ QUERIES = {
         [c for c in TRANSACTION_COLUMNS if c != "amount"],
         distinct=False,
     ),
-    "stream_silver": f"""SELECT transaction_id, customer_id, 'B000000' AS branch_id,
+    "stream_silver": f"""SELECT transaction_id, customer_id, 'B0' AS branch_id,
         upper(channel) AS channel, 'PAYMENT' AS transaction_type, amount, currency, "timestamp",
         'COMPLETED' AS status, CAST(substr("timestamp", 1, 4) AS INTEGER) AS "year",
         CAST(substr("timestamp", 6, 2) AS INTEGER) AS "month",
@@ -454,7 +454,7 @@ QUERIES = {
                          WHEN event_id % 4 = 0 THEN 'USD' WHEN event_id % 4 = 1 THEN 'EUR'
                          WHEN event_id % 4 = 2 THEN 'GBP' ELSE 'AUD' END AS currency
               FROM event_txn e JOIN events
-                   ON e.transaction_id = 'T' || lpad(CAST(event_id AS VARCHAR), 14, '0')
+                   ON e.transaction_id = 'T' || event_id
               WHERE event_id % 101 <> 0 AND e.value BETWEEN 0 AND 100000)
         JOIN rates USING (currency)""",
     # audits
