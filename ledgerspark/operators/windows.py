@@ -132,31 +132,10 @@ def rolling_average_rows(
     """
     keys, before = list(group_by), rows - 1
     placed = ordered_segments(df, [*keys, *order_by], "rolling")
-    amounts = placed.withColumn("__amount", money(value))
-    backwards = Window.partitionBy(*keys, "__segment").orderBy(F.desc("__place"))
-    tails = (
-        amounts.select(*keys, "__segment", "__place", "__amount")
-        .withColumn("__back", F.row_number().over(backwards))
-        .filter(F.col("__back") <= max(before, 1))
-    )
-    along = Window.partitionBy(*keys).orderBy("__segment", "__place")
-    previous = F.collect_list(F.struct("__segment", "__place", "__amount")).over(
-        along.rowsBetween(-before, -1)
-    )
-    opens = F.lag("__segment").over(along).eqNullSafe(F.col("__segment"))
-    halo = (
-        tails.withColumn("__halo", previous if before else F.array())
-        .withColumn("__opens", ~opens)
-        .filter("__opens")
-        .select(*keys, "__segment", F.size("__halo").alias("__size"), F.posexplode("__halo"))
-        .select(
-            *keys,
-            "__segment",
-            (F.col("pos") - F.col("__size")).cast("bigint").alias("__place"),
-            F.col("col.__amount").alias("__amount"),
-        )
-    )
-    opened = amounts.unionByName(halo, allowMissingColumns=True) if before else amounts
+    opened = placed.withColumn("__amount", money(value))
+    if before:
+        halo = _last_rows_before(opened, keys, before)
+        opened = opened.unionByName(halo, allowMissingColumns=True)
     frame = (
         Window.partitionBy(*keys, "__segment")
         .orderBy("__place")
@@ -167,6 +146,38 @@ def rolling_average_rows(
     return averaged.filter(F.col("__place") >= 0).select(*df.columns, out)
 
 
+def _last_rows_before(amounts: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """For every segment of a group, the group's last ``rows`` amounts before it, at negative
+    places.
+
+    Only the last ``rows`` rows of each segment can be among them, so the lists are collected over
+    those alone.
+    """
+    backwards = Window.partitionBy(*keys, "__segment").orderBy(F.desc("__place"))
+    tails = (
+        amounts.select(*keys, "__segment", "__place", "__amount")
+        .withColumn("__back", F.row_number().over(backwards))
+        .filter(F.col("__back") <= rows)
+    )
+    along = Window.partitionBy(*keys).orderBy("__segment", "__place")
+    # Wrapped, since a list leaves out nulls, and a null amount still takes its place.
+    previous = F.collect_list(F.struct("__amount")).over(along.rowsBetween(-rows, -1))
+    continues = F.lag("__segment").over(along).eqNullSafe(F.col("__segment"))
+    opening = (
+        tails.withColumn("__halo", previous)
+        .withColumn("__continues", continues)
+        .filter(~F.col("__continues"))
+    )
+    return opening.select(
+        *keys, "__segment", F.size("__halo").alias("__size"), F.posexplode("__halo")
+    ).select(
+        *keys,
+        "__segment",
+        (F.col("pos") - F.col("__size")).cast("bigint").alias("__place"),
+        F.col("col.__amount").alias("__amount"),
+    )
+
+
 def rolling_average_days(
     df: DataFrame,
     value: str,
