@@ -13,7 +13,23 @@ from ledgerspark.operators.windows import running_total
 AMOUNT = "Amount_USD"
 
 
-def _partials(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+PARTIALS = ("__sum", "__min", "__max", "__count")
+
+# What the published rollups group by, customers aside.
+SUMMARY_KEYS = (
+    "branch_id",
+    "currency",
+    "channel",
+    "transaction_type",
+    "status",
+    "year",
+    "month",
+    "date",
+)
+
+
+def partials(df: DataFrame, keys: Sequence[str], measure: str = AMOUNT) -> DataFrame:
+    """Measures per key in a form that ``coarser`` can group further."""
     return df.groupBy(*keys).agg(
         F.sum(money(measure)).alias("__sum"),
         F.min(measure).alias("__min"),
@@ -22,20 +38,27 @@ def _partials(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     )
 
 
-def _measures(total: Column, low: Column, high: Column, count: Column) -> list[Column]:
-    return [
+def coarser(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partials by fewer keys out of partials by more; equal, since the sums are exact."""
+    merge = {"__sum": F.sum, "__min": F.min, "__max": F.max, "__count": F.sum}
+    return parts.groupBy(*keys).agg(*[fn(c).alias(c) for c, fn in merge.items()])
+
+
+def measures(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    total, low, high, count = [F.col(c) for c in PARTIALS]
+    return parts.select(
+        *keys,
         as_double(total, 2).alias("total_amount"),
         as_double(exact_mean(total, count), 2).alias("average_amount"),
         low.alias("min_amount"),
         high.alias("max_amount"),
         count.alias("transaction_count"),
-    ]
+    )
 
 
 def rollup(df: DataFrame, keys: Sequence[str], measure: str = AMOUNT) -> DataFrame:
     """Total, mean (both to cents), minimum, maximum and count of ``measure`` per key."""
-    parts = _partials(df, keys, measure)
-    return parts.select(*keys, *_measures(*[F.col(c) for c in ("__sum", "__min", "__max", "__count")]))
+    return measures(partials(df, keys, measure), keys)
 
 
 def rollup_by_attribute(
@@ -46,16 +69,19 @@ def rollup_by_attribute(
     Facts are combined per dimension key before the join, so it moves one row per key, however the
     rows are spread over the keys.
     """
-    parts = _partials(df, [on], measure).join(dimension.select(on, attribute), on, "left")
-    merged = parts.groupBy(attribute).agg(
-        F.sum("__sum").alias("__sum"),
-        F.min("__min").alias("__min"),
-        F.max("__max").alias("__max"),
-        F.sum("__count").alias("__count"),
-    )
-    return merged.select(
-        attribute, *_measures(*[F.col(c) for c in ("__sum", "__min", "__max", "__count")])
-    )
+    return measures_by_attribute(partials(df, [on], measure), dimension, on, attribute)
+
+
+def measures_by_attribute(
+    parts: DataFrame, dimension: DataFrame, on: str, attribute: str
+) -> DataFrame:
+    joined = parts.join(dimension.select(on, attribute), on, "left")
+    return measures(coarser(joined, [attribute]), [attribute])
+
+
+def summary_partials(df: DataFrame) -> DataFrame:
+    """One pass over the transactions from which all rollups but the customers' follow."""
+    return partials(df.withColumn("date", F.to_date("timestamp")), SUMMARY_KEYS)
 
 
 def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:
@@ -152,7 +178,7 @@ def peak_off_peak(df: DataFrame, first_hour: int = 8, last_hour: int = 18) -> Da
     """Totals in and outside the peak hours, both inclusive (18 covers 18:59)."""
     hour = F.hour(F.col("timestamp").try_cast("timestamp"))
     period = F.when(hour.between(first_hour, last_hour), "Peak").otherwise("Off-Peak")
-    parts = _partials(df.withColumn("time_period", period), ["time_period"], AMOUNT)
+    parts = partials(df.withColumn("time_period", period), ["time_period"], AMOUNT)
     return parts.select(
         "time_period",
         as_double(F.col("__sum"), 2).alias("total_amount_usd"),

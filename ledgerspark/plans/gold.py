@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +13,7 @@ from ledgerspark.operators.joins import transaction_with_location
 from ledgerspark.operators.windows import rolling_average_rows
 from ledgerspark.plans import segments as S
 from ledgerspark.plans.fraud import fraud_flags
+from ledgerspark.scratch import materialise
 from ledgerspark.sources.tables import overwrite_table
 
 
@@ -21,6 +22,8 @@ class Silver:
     customers: DataFrame
     branches: DataFrame
     transactions: DataFrame
+    summary: DataFrame | None = None
+    """Written ``summary_partials`` of the transactions, where several rollups are wanted."""
 
 
 Builder = Callable[[Silver], DataFrame]
@@ -32,10 +35,12 @@ def gold_tables(
     """Table name to builder, in publishing order."""
 
     def by(*keys: str) -> Builder:
-        return lambda s: R.rollup(s.transactions, keys)
+        return lambda s: R.measures(R.coarser(_summary(s), keys), keys)
 
     def by_branch(attribute: str) -> Builder:
-        return lambda s: R.rollup_by_attribute(s.transactions, s.branches, "branch_id", attribute)
+        return lambda s: R.measures_by_attribute(
+            R.coarser(_summary(s), ["branch_id"]), s.branches, "branch_id", attribute
+        )
 
     def counts(s: Silver) -> DataFrame:
         return S.segment_counts(S.segment_members(s.customers, s.transactions, rules.segments))
@@ -48,7 +53,7 @@ def gold_tables(
         f"{main}fraud_flags_table": lambda s: fraud_flags(s.transactions, rules.fraud),
         "segment_count_table": counts,
         "customer_segmentation": lambda s: R.customer_type_totals(s.customers, s.transactions),
-        "customer_aggregations_table": by("customer_id"),
+        "customer_aggregations_table": lambda s: R.rollup(s.transactions, ["customer_id"]),
         "currency_analysis": lambda s: R.currency_analysis(s.transactions),
         "branch_aggregations_table": by("branch_id"),
         "transaction_with_location_table": lambda s: transaction_with_location(
@@ -60,7 +65,7 @@ def gold_tables(
         "channel_aggregations_table": by("channel"),
         "transaction_type_aggregations_table": by("transaction_type"),
         "year_month_aggregations_table": by("year", "month"),
-        "date_aggregations_table": lambda s: R.rollup_by_date(s.transactions),
+        "date_aggregations_table": by("date"),
         "status_aggregations_table": by("status"),
         "channel_type_aggregations_table": by("channel", "transaction_type"),
         "customer_segments_table": lambda s: R.value_tiers(s.transactions, *rules.tier_edges),
@@ -82,12 +87,22 @@ def gold_tables(
     }
 
 
+def _summary(silver: Silver) -> DataFrame:
+    return R.summary_partials(silver.transactions) if silver.summary is None else silver.summary
+
+
 def publish_gold(
     silver: Silver,
     rules: GoldRules = GoldRules(),
     catalog: CatalogConfig = CatalogConfig(),
 ) -> list[str]:
-    """Write every gold table and return their qualified names. A rerun replaces them."""
+    """Write every gold table and return their qualified names. A rerun replaces them.
+
+    The rollups come from one written summary, so the transactions are read once for all of them.
+    """
+    if silver.summary is None:
+        summary = materialise(R.summary_partials(silver.transactions), "summary")
+        silver = replace(silver, summary=summary)
     published = []
     for name, build in gold_tables(rules, catalog).items():
         table = f"{catalog.gold}.{name}"

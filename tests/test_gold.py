@@ -172,6 +172,29 @@ def test_rollups_add_up(spark, sf_dir):
     assert sum(shares) == pytest.approx(100, abs=0.005 * len(shares))
 
 
+def test_rollups_from_the_summary_equal_direct_ones(spark, sf_dir):
+    from ledgerspark.plans.gold import gold_tables
+    from ledgerspark.workload import bank
+
+    s = bank.silver(spark, sf_dir)
+    tables = gold_tables()
+    direct = {
+        "branch_aggregations_table": R.rollup(s.transactions, ["branch_id"]),
+        "year_month_aggregations_table": R.rollup(s.transactions, ["year", "month"]),
+        "channel_type_aggregations_table": R.rollup(s.transactions, ["channel", "transaction_type"]),
+        "date_aggregations_table": R.rollup_by_date(s.transactions),
+        "location_aggregations_table": R.rollup_by_attribute(
+            s.transactions, s.branches, "branch_id", "location"
+        ),
+    }
+    for name, frame in direct.items():
+        published = tables[name](s)
+        assert published.columns == frame.columns
+        assert sorted(map(tuple, published.collect()), key=repr) == sorted(
+            map(tuple, frame.collect()), key=repr
+        )
+
+
 def test_flags_in_one_pass_equal_outer_joins(spark, sf_dir):
     from ledgerspark.workload import bank
 
