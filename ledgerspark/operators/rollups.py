@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspark.functions.money import as_double, exact_mean, money
 from ledgerspark.operators.joins import lookup_join
-from ledgerspark.operators.windows import running_total
+from ledgerspark.operators.windows import SEGMENT_ROWS, running_total, segmented
 
 AMOUNT = "Amount_USD"
 
@@ -221,7 +221,9 @@ def median_exact(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame
     values = df.filter(F.col(AMOUNT).isNotNull()).groupBy(*keys, AMOUNT).agg(
         F.count("*").alias("__n")
     )
-    upto = running_total(values, "__n", keys, [AMOUNT], "__upto", "decimal(20,0)")
+    rows = segmented(values, keys, [AMOUNT], None, SEGMENT_ROWS)
+    upto = running_total(rows, "__n", keys, [AMOUNT], "__upto", "decimal(20,0)")
+    upto = upto.select(*keys, AMOUNT, "__upto")
     sizes = values.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     reached = lookup_join(upto, sizes, keys, null_safe=True).filter(
         F.col("__upto") * 2 >= F.col("__size")

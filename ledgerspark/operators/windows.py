@@ -1,22 +1,25 @@
 """Ordered computations over few, very large groups.
 
-A plain window would put each group into one task. Here the rows are range-partitioned by group
-and order, written once so that their place is fixed, and every partition's segment of a group is
-computed on its own; what a segment needs from the ones before it (a total, a few last rows, an
-offset) is a small frame with at most a few rows per segment and group.
+A plain window would put each group into one task. Here a group is cut into segments along its
+order, each computed on its own; what a segment needs from the ones before it (a total, a few last
+rows, an offset) is a small frame with at most a few rows per segment. Segments are cut by a bucket
+of the order where the caller names one, and by range partitions elsewhere; those are written once,
+so that a row's place is fixed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerspark.functions.money import as_double, exact_mean, money
-from ledgerspark.operators.joins import skew_join
+from ledgerspark.operators.joins import hot_keys, key_counts, lookup_join, skew_join
 from ledgerspark.scratch import materialise
 
 MONEY = "decimal(18,2)"
+SEGMENT = ("__bucket", "__part")
+SEGMENT_ROWS = 5_000_000
 
 # Fixed value: monotonically_increasing_id keeps the row's place in its partition in 33 bits.
 PLACE_BITS = 33
@@ -66,56 +69,100 @@ def sequential_ids(
     )
 
 
+def hour_of(timestamp: str) -> Column:
+    """Bucket of a text timestamp, ``yyyy-MM-dd HH``."""
+    return F.substring(timestamp, 1, 13)
+
+
+def segmented(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    bucket: Column | None,
+    rows_per_task: int,
+) -> DataFrame:
+    """Rows with the segment of their group they belong to (``SEGMENT``) and a place in it.
+
+    ``bucket`` cuts the groups by value, which needs no preparation: the hour of the leading
+    timestamp, say. It must not fall along the order. Buckets with too many rows for one task, and
+    all rows without a bucket, are cut by range-partitioning them.
+    """
+    keys = list(keys)
+    order = [*keys, "__bucket", *order_by]
+    if bucket is None:
+        return _cut(df.withColumn("__bucket", F.lit(0)), order)
+    bucketed = df.withColumn("__bucket", bucket)
+    cut_by = [*keys, "__bucket"]
+    counts = materialise(key_counts(bucketed, cut_by), "buckets")
+    hot = hot_keys(counts, rows_per_task).select(*cut_by)
+    if hot.isEmpty():
+        return _uncut(bucketed)
+    cold_rows = lookup_join(bucketed, hot, cut_by, "left_anti", null_safe=True)
+    hot_rows = lookup_join(bucketed, hot, cut_by, "left_semi", null_safe=True)
+    return _uncut(cold_rows).unionByName(_cut(hot_rows, order))
+
+
+def _uncut(df: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("bigint")
+    return df.withColumns({"__part": zero, "__place": zero})
+
+
+def _cut(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    return ordered_segments(df, order, "segments").withColumnRenamed("__segment", "__part")
+
+
 def cumulative_sum(
     df: DataFrame,
     value: str,
     group_by: Sequence[str],
     order_by: Sequence[str],
     out: str = "cumulative_sum",
+    bucket: Column | None = None,
+    rows_per_task: int = SEGMENT_ROWS,
 ) -> DataFrame:
-    """Running total of an amount per group."""
-    summed = running_total(df, value, group_by, order_by, out, MONEY)
-    return summed.withColumn(out, F.col(out).cast("double"))
+    """Running total of an amount per group. For ``bucket`` see ``segmented``."""
+    rows = segmented(df, group_by, order_by, bucket, rows_per_task)
+    summed = running_total(rows, value, group_by, order_by, out, MONEY)
+    return summed.select(*df.columns, F.col(out).cast("double").alias(out))
 
 
 def running_total(
-    df: DataFrame,
+    rows: DataFrame,
     value: str,
     group_by: Sequence[str],
     order_by: Sequence[str],
     out: str,
     decimal: str,
 ) -> DataFrame:
-    """Running total of ``value`` per group, as an exact decimal.
+    """Running total of ``value`` over ``segmented`` rows, as an exact decimal.
 
     Each segment is opened by a carry row holding the group's total before it.
     """
     keys = list(group_by)
-    rows = ordered_segments(df, [*keys, *order_by], "cumulative")
     amount = F.col(value).try_cast(decimal)
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy("__segment")
+        .orderBy(*SEGMENT)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carries = (
-        rows.groupBy(*keys, "__segment")
+        rows.groupBy(*keys, *SEGMENT)
         .agg(F.sum(amount).alias("__total"))
         .select(
             *keys,
-            "__segment",
+            *SEGMENT,
             F.lit(-1).cast("bigint").alias("__place"),
             F.sum("__total").over(earlier).alias("__amount"),
         )
     )
     opened = rows.withColumn("__amount", amount).unionByName(carries, allowMissingColumns=True)
     running = (
-        Window.partitionBy(*keys, "__segment")
-        .orderBy("__place")
+        Window.partitionBy(*keys, *SEGMENT)
+        .orderBy("__place", *order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = opened.withColumn(out, F.sum("__amount").over(running))
-    return summed.filter(F.col("__place") >= 0).select(*df.columns, out)
+    return summed.filter(F.col("__place") >= 0)
 
 
 def rolling_average_rows(
@@ -125,20 +172,24 @@ def rolling_average_rows(
     order_by: Sequence[str],
     rows: int = 7,
     out: str = "rolling_avg_amount_usd",
+    bucket: Column | None = None,
+    rows_per_task: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Mean of the current and the ``rows - 1`` rows before it in the group, to cents.
 
-    Each segment is opened by copies of the group's last ``rows - 1`` rows before it.
+    Each segment is opened by copies of the group's last ``rows - 1`` rows before it. For
+    ``bucket`` see ``segmented``.
     """
     keys, before = list(group_by), rows - 1
-    placed = ordered_segments(df, [*keys, *order_by], "rolling")
-    opened = placed.withColumn("__amount", money(value))
+    opened = segmented(df, keys, order_by, bucket, rows_per_task).withColumn(
+        "__amount", money(value)
+    )
     if before:
-        halo = _last_rows_before(opened, keys, before)
+        halo = _last_rows_before(opened, keys, order_by, before)
         opened = opened.unionByName(halo, allowMissingColumns=True)
     frame = (
-        Window.partitionBy(*keys, "__segment")
-        .orderBy("__place")
+        Window.partitionBy(*keys, *SEGMENT)
+        .orderBy("__place", *order_by)
         .rowsBetween(-before, Window.currentRow)
     )
     mean = exact_mean(F.sum("__amount").over(frame), F.count("__amount").over(frame))
@@ -146,33 +197,37 @@ def rolling_average_rows(
     return averaged.filter(F.col("__place") >= 0).select(*df.columns, out)
 
 
-def _last_rows_before(amounts: DataFrame, keys: list[str], rows: int) -> DataFrame:
+def _last_rows_before(
+    amounts: DataFrame, keys: list[str], order_by: Sequence[str], rows: int
+) -> DataFrame:
     """For every segment of a group, the group's last ``rows`` amounts before it, at negative
     places.
 
     Only the last ``rows`` rows of each segment can be among them, so the lists are collected over
     those alone.
     """
-    backwards = Window.partitionBy(*keys, "__segment").orderBy(F.desc("__place"))
+    order = ["__place", *order_by]
+    backwards = Window.partitionBy(*keys, *SEGMENT).orderBy(*[F.desc(c) for c in order])
+    columns = list(dict.fromkeys([*keys, *SEGMENT, *order, "__amount"]))
     tails = (
-        amounts.select(*keys, "__segment", "__place", "__amount")
+        amounts.select(*columns)
         .withColumn("__back", F.row_number().over(backwards))
         .filter(F.col("__back") <= rows)
     )
-    along = Window.partitionBy(*keys).orderBy("__segment", "__place")
+    along = Window.partitionBy(*keys).orderBy(*SEGMENT, *order)
     # Wrapped, since a list leaves out nulls, and a null amount still takes its place.
     previous = F.collect_list(F.struct("__amount")).over(along.rowsBetween(-rows, -1))
-    continues = F.lag("__segment").over(along).eqNullSafe(F.col("__segment"))
+    segment = F.struct(*SEGMENT)
     opening = (
         tails.withColumn("__halo", previous)
-        .withColumn("__continues", continues)
+        .withColumn("__continues", F.lag(segment).over(along).eqNullSafe(segment))
         .filter(~F.col("__continues"))
     )
     return opening.select(
-        *keys, "__segment", F.size("__halo").alias("__size"), F.posexplode("__halo")
+        *keys, *SEGMENT, F.size("__halo").alias("__size"), F.posexplode("__halo")
     ).select(
         *keys,
-        "__segment",
+        *SEGMENT,
         (F.col("pos") - F.col("__size")).cast("bigint").alias("__place"),
         F.col("col.__amount").alias("__amount"),
     )

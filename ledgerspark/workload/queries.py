@@ -358,10 +358,10 @@ def queries() -> dict[str, Query]:
             lambda t: W.with_last_transaction(t.select("transaction_id", "customer_id", "timestamp"))
         ),
         "cumulative_sum": _on_transactions(
-            lambda t: W.cumulative_sum(t.select(*POINT), "Amount_USD", ["channel"], ORDER)
+            lambda t: W.cumulative_sum(t.select(*POINT), "Amount_USD", ["channel"], ORDER, bucket=W.hour_of("timestamp"))
         ),
         "rolling_avg_rows": _on_transactions(
-            lambda t: W.rolling_average_rows(t.select(*POINT), "Amount_USD", ["channel"], ORDER)
+            lambda t: W.rolling_average_rows(t.select(*POINT), "Amount_USD", ["channel"], ORDER, bucket=W.hour_of("timestamp"))
         ),
         "rolling_avg_days": _on_transactions(
             lambda t: W.rolling_average_days(t, "Amount_USD", ["channel"])

@@ -25,10 +25,13 @@ def rows(df, *columns):
 
 ORDER = ["t", "id"]
 
+# No bucket; buckets that all fit a task; some too large; all too large.
+CUTS = [(None, 1), ("t div 10", 10_000), ("t div 10", 100), ("t", 1)]
 
-@pytest.fixture(params=[1, 8, 64])
+
+@pytest.fixture(params=[1, 16])
 def segments(spark, request):
-    """Number of range partitions: one, as many as cores, more than some groups have rows."""
+    """Number of range partitions: one, or more than some groups have rows."""
     spark.conf.set("spark.sql.shuffle.partitions", request.param)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield request.param
@@ -36,20 +39,28 @@ def segments(spark, request):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_cumulative_sum(points, segments):
+@pytest.mark.parametrize("bucket,rows_per_task", CUTS)
+def test_cumulative_sum(points, segments, bucket, rows_per_task):
     w = Window.partitionBy("g").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     plain = points.withColumn("c", F.sum(F.col("v").cast("decimal(18,2)")).over(w).cast("double"))
-    ours = W.cumulative_sum(points, "v", ["g"], ORDER, "c")
+    ours = W.cumulative_sum(
+        points, "v", ["g"], ORDER, "c", bucket and F.expr(bucket), rows_per_task
+    )
+    assert ours.columns == [*points.columns, "c"]
     assert rows(ours, "id", "c") == rows(plain, "id", "c")
 
 
-@pytest.mark.parametrize("width", [1, 2, 7, 50])
-def test_rolling_rows(points, segments, width):
+@pytest.mark.parametrize("bucket,rows_per_task", CUTS)
+@pytest.mark.parametrize("width", [1, 7, 50])
+def test_rolling_rows(points, segments, width, bucket, rows_per_task):
     w = Window.partitionBy("g").orderBy(*ORDER).rowsBetween(-(width - 1), 0)
     v = F.col("v").cast("decimal(18,2)")
     mean = F.try_divide(F.sum(v).over(w), F.count(v).over(w).cast("decimal(20,0)"))
     plain = points.withColumn("r", F.round(mean, 2).cast("double"))
-    ours = W.rolling_average_rows(points, "v", ["g"], ORDER, width, "r")
+    ours = W.rolling_average_rows(
+        points, "v", ["g"], ORDER, width, "r", bucket and F.expr(bucket), rows_per_task
+    )
+    assert ours.columns == [*points.columns, "r"]
     assert rows(ours, "id", "r") == rows(plain, "id", "r")
 
 
