@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerspark.functions.money import money
+from ledgerspark.functions.money import divided_to_cents
 from ledgerspark.operators.joins import lookup_join
 
 log = logging.getLogger(__name__)
@@ -94,8 +94,9 @@ def convert_currency_to_usd(
     rate = F.col("__rate")
     if default_rate is not None:
         rate = F.coalesce(rate, F.lit(default_rate).cast("decimal(10,4)"))
-    usd = F.round(F.try_divide(money("amount"), rate), 2).cast("double")
-    return lookup_join(df, listed, ["currency"]).withColumn(out, usd).drop("__rate")
+    return lookup_join(df, listed, ["currency"]).withColumn(
+        out, divided_to_cents(F.col("amount"), rate)
+    ).drop("__rate")
 
 
 def count_missing_rates(df: DataFrame, rates: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspark.functions.money import as_double, exact_mean, money
+from ledgerspark.functions.money import as_double, exact_mean, exact_sum
 from ledgerspark.operators.joins import lookup_join
 from ledgerspark.operators.windows import SEGMENT_ROWS, running_total, segmented
 
@@ -31,7 +31,7 @@ SUMMARY_KEYS = (
 def partials(df: DataFrame, keys: Sequence[str], measure: str = AMOUNT) -> DataFrame:
     """Measures per key in a form that ``coarser`` can group further."""
     return df.groupBy(*keys).agg(
-        F.sum(money(measure)).alias("__sum"),
+        exact_sum(measure).alias("__sum"),
         F.min(measure).alias("__min"),
         F.max(measure).alias("__max"),
         F.count(measure).alias("__count"),
@@ -91,7 +91,7 @@ def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:
 def currency_analysis(df: DataFrame) -> DataFrame:
     """Unrounded total and mean per currency."""
     parts = df.groupBy("currency").agg(
-        F.sum(money(AMOUNT)).cast("double").alias("total_amount_by_currency"),
+        exact_sum(AMOUNT).cast("double").alias("total_amount_by_currency"),
         F.count(AMOUNT).alias("__count"),
     )
     mean = F.try_divide(F.col("total_amount_by_currency"), F.col("__count"))
@@ -104,7 +104,7 @@ def customer_type_totals(customers: DataFrame, transactions: DataFrame) -> DataF
     Transactions are summed per customer first; the join then meets one row per customer.
     """
     spend = transactions.groupBy("customer_id").agg(
-        F.sum(money("amount")).alias("__sum"), F.count("amount").alias("__count")
+        exact_sum("amount").alias("__sum"), F.count("amount").alias("__count")
     )
     joined = customers.select("customer_id", "customer_type").join(spend, "customer_id")
     totals = joined.groupBy("customer_type").agg(
@@ -167,7 +167,7 @@ def monthly_counts(df: DataFrame) -> DataFrame:
 def value_tiers(df: DataFrame, low: float = 1000, medium: float = 5000) -> DataFrame:
     """Customers by total spend; both edges are inclusive, no total counts as High."""
     totals = df.groupBy("customer_id").agg(
-        as_double(F.sum(money(AMOUNT)), 2).alias("total_amount_usd")
+        as_double(exact_sum(AMOUNT), 2).alias("total_amount_usd")
     )
     total = F.col("total_amount_usd")
     segment = F.when(total <= low, "Low Value").when(total <= medium, "Medium Value")
@@ -222,7 +222,7 @@ def median_exact(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame
         F.count("*").alias("__n")
     )
     rows = segmented(values, keys, [AMOUNT], None, SEGMENT_ROWS)
-    upto = running_total(rows, "__n", keys, [AMOUNT], "__upto", "decimal(20,0)")
+    upto = running_total(rows, F.col("__n"), keys, [AMOUNT], "__upto")
     upto = upto.select(*keys, AMOUNT, "__upto")
     sizes = values.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     reached = lookup_join(upto, sizes, keys, null_safe=True).filter(
@@ -233,7 +233,7 @@ def median_exact(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame
 
 def percent_of_total(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame:
     """Total per group and its share of the grand total, in percent to two digits."""
-    totals = df.groupBy(*keys).agg(F.sum(money(AMOUNT)).alias("__sum"))
+    totals = df.groupBy(*keys).agg(exact_sum(AMOUNT).alias("__sum"))
     grand = totals.agg(F.sum("__sum")).scalar()
     share = F.round(F.try_divide(F.col("__sum") * 100, grand), 2)
     return totals.select(

@@ -13,11 +13,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerspark.functions.money import as_double, exact_mean, money
+from ledgerspark.functions.money import (
+    as_double,
+    cents,
+    exact_mean,
+    exact_sum,
+    exact_total,
+    in_money,
+    mean_in_cents,
+)
 from ledgerspark.operators.joins import hot_keys, key_counts, lookup_join, skew_join
 from ledgerspark.scratch import materialise
 
-MONEY = "decimal(18,2)"
 SEGMENT = ("__bucket", "__part")
 SEGMENT_ROWS = 5_000_000
 
@@ -69,9 +76,9 @@ def sequential_ids(
     )
 
 
-def hour_of(timestamp: str) -> Column:
-    """Bucket of a text timestamp, ``yyyy-MM-dd HH``."""
-    return F.substring(timestamp, 1, 13)
+def day_of(timestamp: str) -> Column:
+    """Bucket of a text timestamp, ``yyyy-MM-dd``."""
+    return F.substring(timestamp, 1, 10)
 
 
 def segmented(
@@ -83,7 +90,7 @@ def segmented(
 ) -> DataFrame:
     """Rows with the segment of their group they belong to (``SEGMENT``) and a place in it.
 
-    ``bucket`` cuts the groups by value, which needs no preparation: the hour of the leading
+    ``bucket`` cuts the groups by value, which needs no preparation: the day of the leading
     timestamp, say. It must not fall along the order. Buckets with too many rows for one task, and
     all rows without a bucket, are cut by range-partitioning them.
     """
@@ -122,24 +129,19 @@ def cumulative_sum(
 ) -> DataFrame:
     """Running total of an amount per group. For ``bucket`` see ``segmented``."""
     rows = segmented(df, group_by, order_by, bucket, rows_per_task)
-    summed = running_total(rows, value, group_by, order_by, out, MONEY)
-    return summed.select(*df.columns, F.col(out).cast("double").alias(out))
+    summed = running_total(rows, cents(value), group_by, order_by, out)
+    return summed.select(*df.columns, as_double(in_money(F.col(out))).alias(out))
 
 
 def running_total(
-    rows: DataFrame,
-    value: str,
-    group_by: Sequence[str],
-    order_by: Sequence[str],
-    out: str,
-    decimal: str,
+    rows: DataFrame, value: Column, group_by: Sequence[str], order_by: Sequence[str], out: str
 ) -> DataFrame:
-    """Running total of ``value`` over ``segmented`` rows, as an exact decimal.
+    """Running total of a BIGINT ``value`` over ``segmented`` rows, as an exact decimal.
 
-    Each segment is opened by a carry row holding the group's total before it.
+    Each segment is opened by a carry row with the group's total before it, kept apart from the
+    running sum so that only it has to be a decimal.
     """
     keys = list(group_by)
-    amount = F.col(value).try_cast(decimal)
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(*SEGMENT)
@@ -147,22 +149,29 @@ def running_total(
     )
     carries = (
         rows.groupBy(*keys, *SEGMENT)
-        .agg(F.sum(amount).alias("__total"))
+        .agg(exact_total(value).alias("__total"))
         .select(
             *keys,
             *SEGMENT,
             F.lit(-1).cast("bigint").alias("__place"),
-            F.sum("__total").over(earlier).alias("__amount"),
+            F.sum("__total").over(earlier).alias("__carry"),
         )
     )
-    opened = rows.withColumn("__amount", amount).unionByName(carries, allowMissingColumns=True)
+    opened = rows.withColumn("__amount", value).unionByName(carries, allowMissingColumns=True)
     running = (
         Window.partitionBy(*keys, *SEGMENT)
         .orderBy("__place", *order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = opened.withColumn(out, F.sum("__amount").over(running))
-    return summed.filter(F.col("__place") >= 0)
+    summed = opened.withColumns(
+        {
+            "__carry": F.first("__carry").over(running).cast("decimal(36,0)"),
+            "__within": F.sum("__amount").over(running).cast("decimal(19,0)"),
+        }
+    )
+    both = F.coalesce("__carry", F.lit(0)) + F.coalesce("__within", F.lit(0))
+    known = F.col("__carry").isNotNull() | F.col("__within").isNotNull()
+    return summed.filter(F.col("__place") >= 0).withColumn(out, F.when(known, both))
 
 
 def rolling_average_rows(
@@ -182,7 +191,7 @@ def rolling_average_rows(
     """
     keys, before = list(group_by), rows - 1
     opened = segmented(df, keys, order_by, bucket, rows_per_task).withColumn(
-        "__amount", money(value)
+        "__amount", cents(value)
     )
     if before:
         halo = _last_rows_before(opened, keys, order_by, before)
@@ -192,8 +201,9 @@ def rolling_average_rows(
         .orderBy("__place", *order_by)
         .rowsBetween(-before, Window.currentRow)
     )
-    mean = exact_mean(F.sum("__amount").over(frame), F.count("__amount").over(frame))
-    averaged = opened.withColumn(out, as_double(mean, 2))
+    averaged = opened.withColumns(
+        {"__sum": F.sum("__amount").over(frame), "__count": F.count("__amount").over(frame)}
+    ).withColumn(out, mean_in_cents(F.col("__sum"), F.col("__count")))
     return averaged.filter(F.col("__place") >= 0).select(*df.columns, out)
 
 
@@ -250,7 +260,7 @@ def rolling_average_days(
     daily = (
         df.withColumn("date", F.to_date(F.col(timestamp).try_cast("timestamp")))
         .groupBy(*keys, "date")
-        .agg(F.sum(money(value)).alias("__sum"), F.count(value).alias("__count"))
+        .agg(exact_sum(value).alias("__sum"), F.count(value).alias("__count"))
     )
     span = Window.partitionBy(*keys).orderBy(F.unix_date("date")).rangeBetween(-(days - 1), 0)
     mean = exact_mean(F.sum("__sum").over(span), F.sum("__count").over(span))

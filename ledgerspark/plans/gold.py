@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ledgerspark.config import CatalogConfig, GoldRules
 from ledgerspark.operators import rollups as R
 from ledgerspark.operators.joins import transaction_with_location
-from ledgerspark.operators.windows import hour_of, rolling_average_rows
+from ledgerspark.operators.windows import day_of, rolling_average_rows
 from ledgerspark.plans import segments as S
 from ledgerspark.plans.fraud import fraud_flags
 from ledgerspark.scratch import materialise
@@ -83,7 +83,7 @@ def gold_tables(
             ["channel"],
             ["timestamp", "transaction_id"],
             rules.rolling_rows,
-            bucket=hour_of("timestamp"),
+            bucket=day_of("timestamp"),
         ),
     }
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspark.config import SegmentRules
-from ledgerspark.functions.money import money
+from ledgerspark.functions.money import exact_sum
 from ledgerspark.operators.windows import sequential_ids
 
 # The published segment descriptions.
@@ -36,7 +36,7 @@ def _members(customers: DataFrame, name: str, rules: SegmentRules) -> DataFrame:
 
 def high_value(transactions: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
     totals = transactions.groupBy("customer_id").agg(
-        F.sum(money(rules.high_value_measure)).alias("__total")
+        exact_sum(rules.high_value_measure).alias("__total")
     )
     return _members(totals.filter(F.col("__total") > rules.high_value_total), "High_Value", rules)
 

@@ -217,6 +217,7 @@ def _scores(detect, flag: str) -> Query:
 
 ORDER = ["timestamp", "transaction_id"]
 POINT = ["transaction_id", "channel", "timestamp", "Amount_USD"]
+BY_CHANNEL = ("Amount_USD", ["channel"], ORDER)
 
 
 def queries() -> dict[str, Query]:
@@ -358,10 +359,12 @@ def queries() -> dict[str, Query]:
             lambda t: W.with_last_transaction(t.select("transaction_id", "customer_id", "timestamp"))
         ),
         "cumulative_sum": _on_transactions(
-            lambda t: W.cumulative_sum(t.select(*POINT), "Amount_USD", ["channel"], ORDER, bucket=W.hour_of("timestamp"))
+            lambda t: W.cumulative_sum(t.select(*POINT), *BY_CHANNEL, bucket=W.day_of("timestamp"))
         ),
         "rolling_avg_rows": _on_transactions(
-            lambda t: W.rolling_average_rows(t.select(*POINT), "Amount_USD", ["channel"], ORDER, bucket=W.hour_of("timestamp"))
+            lambda t: W.rolling_average_rows(
+                t.select(*POINT), *BY_CHANNEL, bucket=W.day_of("timestamp")
+            )
         ),
         "rolling_avg_days": _on_transactions(
             lambda t: W.rolling_average_days(t, "Amount_USD", ["channel"])

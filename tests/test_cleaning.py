@@ -204,3 +204,4 @@ def test_silver_transactions(spark, rates):
     assert got["T1"].Amount_USD == 100.0 and (got["T1"].year, got["T1"].month) == (2023, 1)
     assert got["T2"].Amount_USD == 10.0 and got["T2"].channel == "WEB"
     assert got["T3"].timestamp is None and got["T3"].year is None
+    assert got["T4"].Amount_USD == 0.01

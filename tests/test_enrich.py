@@ -2,7 +2,10 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerspark.functions import enrich as E
+from ledgerspark.functions.money import divided_to_cents, exact_sum, exact_total
 from ledgerspark.schemas import RATES
 
 
@@ -38,3 +41,18 @@ def test_currency(spark):
     assert {r.id: r.Amount_USD for r in strict.collect()}[2] is None
     missing = {r.currency: r.rate_missing for r in E.count_missing_rates(df, rates).collect()}
     assert missing == {"XYZ": 1, None: 1}
+
+
+def test_quotients_round_half_up(spark):
+    rows = [(1.005, "1"), (0.125, "1"), (2.675, "1"), (-0.125, "1"), (1e12, "0.5"), (0.01, "3")]
+    df = spark.createDataFrame([(a, Decimal(r)) for a, r in rows], "a double, r decimal(10,4)")
+    got = [r.q for r in df.select(divided_to_cents(F.col("a"), F.col("r")).alias("q")).collect()]
+    assert got == [1.01, 0.13, 2.68, -0.13, 2e12, 0.0]
+
+
+def test_sums_are_exact_and_cannot_overflow(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (float("nan"),), (None,)], "a double")
+    assert df.agg(exact_sum("a")).first()[0] == Decimal("0.30")
+    huge = spark.range(4).select(F.lit(2**63 - 1).alias("v"))
+    assert huge.agg(exact_total(F.col("v"))).first()[0] == 4 * (2**63 - 1)
+    assert df.filter("a is null").agg(exact_sum("a")).first()[0] is None
