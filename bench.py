@@ -1,7 +1,7 @@
 """Time the headline queries: one warm-up, then the median of three runs, in seconds.
 
-``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local cores, ``BENCH_QUERIES`` (comma-separated)
-a selection. Results go to a sink that reads every row and keeps none.
+``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local cores, ``BENCH_QUERIES`` (comma-separated,
+or ``all``) a selection. Results go to a sink that reads every row and keeps none.
 """
 
 from __future__ import annotations
@@ -76,8 +76,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     chosen = os.environ.get("BENCH_QUERIES")
-    names = chosen.split(",") if chosen else HEADLINE
     registered = queries()
+    names = chosen.split(",") if chosen else HEADLINE
+    if chosen == "all":
+        names = list(registered)
     seconds = {"build_silver": measure(lambda: bank.build_silver(spark, SF_DIR))}
     for name in names:
         run = registered[name]
