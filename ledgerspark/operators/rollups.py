@@ -98,19 +98,34 @@ def currency_analysis(df: DataFrame) -> DataFrame:
     return parts.withColumn("avg_amount_by_currency", mean).drop("__count")
 
 
+def customer_partials(df: DataFrame) -> DataFrame:
+    """One pass over the transactions from which all figures per customer follow."""
+    return df.groupBy("customer_id").agg(
+        exact_sum(AMOUNT).alias("__sum"),
+        F.min(AMOUNT).alias("__min"),
+        F.max(AMOUNT).alias("__max"),
+        F.count(AMOUNT).alias("__count"),
+        exact_sum("amount").alias("__spend"),
+        F.count("amount").alias("__spends"),
+        F.max("timestamp").alias("last_transaction_date"),
+    )
+
+
 def customer_type_totals(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     """Customers with transactions, mean amount and spend per customer type.
 
     Transactions are summed per customer first; the join then meets one row per customer.
     """
-    spend = transactions.groupBy("customer_id").agg(
-        exact_sum("amount").alias("__sum"), F.count("amount").alias("__count")
-    )
+    return type_totals_of(customers, customer_partials(transactions))
+
+
+def type_totals_of(customers: DataFrame, parts: DataFrame) -> DataFrame:
+    spend = parts.select("customer_id", "__spend", "__spends")
     joined = customers.select("customer_id", "customer_type").join(spend, "customer_id")
     totals = joined.groupBy("customer_type").agg(
         F.count_distinct("customer_id").alias("total_customers"),
-        F.sum("__sum").cast("double").alias("total_spend"),
-        F.sum("__count").alias("__count"),
+        F.sum("__spend").cast("double").alias("total_spend"),
+        F.sum("__spends").alias("__count"),
     )
     mean = F.try_divide(F.col("total_spend"), F.col("__count"))
     return totals.select(
@@ -120,23 +135,27 @@ def customer_type_totals(customers: DataFrame, transactions: DataFrame) -> DataF
 
 def last_transactions(transactions: DataFrame) -> DataFrame:
     """Last transaction per customer next to the last one of all."""
-    last = transactions.groupBy("customer_id").agg(
-        F.max("timestamp").alias("last_transaction_date")
+    return last_of(
+        transactions.groupBy("customer_id").agg(F.max("timestamp").alias("last_transaction_date"))
     )
+
+
+def last_of(parts: DataFrame) -> DataFrame:
+    last = parts.select("customer_id", "last_transaction_date")
     return last.withColumn("current_date", last.agg(F.max("last_transaction_date")).scalar())
 
 
 def churn_status(transactions: DataFrame, churn_days: int = 180) -> DataFrame:
+    return churn_of(last_transactions(transactions), churn_days)
+
+
+def churn_of(last: DataFrame, churn_days: int = 180) -> DataFrame:
     days = F.datediff(
         F.col("current_date").try_cast("timestamp"),
         F.col("last_transaction_date").try_cast("timestamp"),
     )
     status = F.when(F.col("days_since_last_transaction") > churn_days, "Churned").otherwise("Active")
-    return (
-        last_transactions(transactions)
-        .withColumn("days_since_last_transaction", days)
-        .withColumn("churn_status", status)
-    )
+    return last.withColumn("days_since_last_transaction", days).withColumn("churn_status", status)
 
 
 def active_churned(transactions: DataFrame, churn_days: int = 180) -> DataFrame:
@@ -166,11 +185,13 @@ def monthly_counts(df: DataFrame) -> DataFrame:
 
 def value_tiers(df: DataFrame, low: float = 1000, medium: float = 5000) -> DataFrame:
     """Customers by total spend; both edges are inclusive, no total counts as High."""
-    totals = df.groupBy("customer_id").agg(
-        as_double(exact_sum(AMOUNT), 2).alias("total_amount_usd")
-    )
+    return tiers_of(partials(df, ["customer_id"]), low, medium)
+
+
+def tiers_of(parts: DataFrame, low: float = 1000, medium: float = 5000) -> DataFrame:
     total = F.col("total_amount_usd")
     segment = F.when(total <= low, "Low Value").when(total <= medium, "Medium Value")
+    totals = parts.select("customer_id", as_double(F.col("__sum"), 2).alias("total_amount_usd"))
     return totals.withColumn("segment", segment.otherwise("High Value"))
 
 

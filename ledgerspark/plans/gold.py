@@ -23,7 +23,8 @@ class Silver:
     branches: DataFrame
     transactions: DataFrame
     summary: DataFrame | None = None
-    """Written ``summary_partials`` of the transactions, where several rollups are wanted."""
+    customer_summary: DataFrame | None = None
+    """``summary_partials`` and ``customer_partials`` of the transactions, once written."""
 
 
 Builder = Callable[[Silver], DataFrame]
@@ -52,8 +53,8 @@ def gold_tables(
         ),
         f"{main}fraud_flags_table": lambda s: fraud_flags(s.transactions, rules.fraud),
         "segment_count_table": counts,
-        "customer_segmentation": lambda s: R.customer_type_totals(s.customers, s.transactions),
-        "customer_aggregations_table": lambda s: R.rollup(s.transactions, ["customer_id"]),
+        "customer_segmentation": lambda s: R.type_totals_of(s.customers, _per_customer(s)),
+        "customer_aggregations_table": lambda s: R.measures(_per_customer(s), ["customer_id"]),
         "currency_analysis": lambda s: R.currency_analysis(s.transactions),
         "branch_aggregations_table": by("branch_id"),
         "transaction_with_location_table": lambda s: transaction_with_location(
@@ -68,9 +69,9 @@ def gold_tables(
         "date_aggregations_table": by("date"),
         "status_aggregations_table": by("status"),
         "channel_type_aggregations_table": by("channel", "transaction_type"),
-        "customer_segments_table": lambda s: R.value_tiers(s.transactions, *rules.tier_edges),
-        "last_transaction_table": lambda s: R.last_transactions(s.transactions),
-        "churn_table": lambda s: R.churn_status(s.transactions, rules.churn_days),
+        "customer_segments_table": lambda s: R.tiers_of(_per_customer(s), *rules.tier_edges),
+        "last_transaction_table": lambda s: R.last_of(_per_customer(s)),
+        "churn_table": lambda s: R.churn_of(R.last_of(_per_customer(s)), rules.churn_days),
         "peak_off_peak_table": lambda s: R.peak_off_peak(s.transactions, *rules.peak_hours),
         "transaction_frequency_table": lambda s: R.amount_histogram(
             s.transactions, rules.histogram_edges
@@ -92,6 +93,12 @@ def _summary(silver: Silver) -> DataFrame:
     return R.summary_partials(silver.transactions) if silver.summary is None else silver.summary
 
 
+def _per_customer(silver: Silver) -> DataFrame:
+    if silver.customer_summary is None:
+        return R.customer_partials(silver.transactions)
+    return silver.customer_summary
+
+
 def publish_gold(
     silver: Silver,
     rules: GoldRules = GoldRules(),
@@ -99,11 +106,14 @@ def publish_gold(
 ) -> list[str]:
     """Write every gold table and return their qualified names. A rerun replaces them.
 
-    The rollups come from one written summary, so the transactions are read once for all of them.
+    The rollups and the customers' tables come from two written summaries, so the transactions are
+    read once for each.
     """
-    if silver.summary is None:
-        summary = materialise(R.summary_partials(silver.transactions), "summary")
-        silver = replace(silver, summary=summary)
+    silver = replace(
+        silver,
+        summary=materialise(_summary(silver), "summary"),
+        customer_summary=materialise(_per_customer(silver), "customers"),
+    )
     published = []
     for name, build in gold_tables(rules, catalog).items():
         table = f"{catalog.gold}.{name}"

@@ -186,6 +186,11 @@ def test_rollups_from_the_summary_equal_direct_ones(spark, sf_dir):
         "location_aggregations_table": R.rollup_by_attribute(
             s.transactions, s.branches, "branch_id", "location"
         ),
+        "customer_aggregations_table": R.rollup(s.transactions, ["customer_id"]),
+        "customer_segments_table": R.value_tiers(s.transactions),
+        "last_transaction_table": R.last_transactions(s.transactions),
+        "churn_table": R.churn_status(s.transactions),
+        "customer_segmentation": R.customer_type_totals(s.customers, s.transactions),
     }
     for name, frame in direct.items():
         published = tables[name](s)
