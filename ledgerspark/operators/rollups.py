@@ -15,16 +15,12 @@ AMOUNT = "Amount_USD"
 
 PARTIALS = ("__sum", "__min", "__max", "__count")
 
-# What the published rollups group by, customers aside.
-SUMMARY_KEYS = (
-    "branch_id",
-    "currency",
-    "channel",
-    "transaction_type",
-    "status",
-    "year",
-    "month",
-    "date",
+# Key sets few enough in values to combine well on the map side; the published rollups follow from
+# them. One set of all keys would hardly combine at all.
+SUMMARIES = (
+    ("currency", "channel", "transaction_type", "status"),
+    ("year", "month", "date"),
+    ("branch_id",),
 )
 
 
@@ -79,9 +75,9 @@ def measures_by_attribute(
     return measures(coarser(joined, [attribute]), [attribute])
 
 
-def summary_partials(df: DataFrame) -> DataFrame:
-    """One pass over the transactions from which all rollups but the customers' follow."""
-    return partials(df.withColumn("date", F.to_date("timestamp")), SUMMARY_KEYS)
+def summary_partials(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partials by one of ``SUMMARIES``."""
+    return partials(df.withColumn("date", F.to_date("timestamp")), keys)
 
 
 def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
@@ -22,9 +22,9 @@ class Silver:
     customers: DataFrame
     branches: DataFrame
     transactions: DataFrame
-    summary: DataFrame | None = None
+    # Partials of the transactions, by key set and by customer, where they are written already.
+    summaries: Mapping[tuple[str, ...], DataFrame] = field(default_factory=dict)
     customer_summary: DataFrame | None = None
-    """``summary_partials`` and ``customer_partials`` of the transactions, once written."""
 
 
 Builder = Callable[[Silver], DataFrame]
@@ -36,11 +36,11 @@ def gold_tables(
     """Table name to builder, in publishing order."""
 
     def by(*keys: str) -> Builder:
-        return lambda s: R.measures(R.coarser(_summary(s), keys), keys)
+        return lambda s: R.measures(R.coarser(_summary(s, keys), keys), keys)
 
     def by_branch(attribute: str) -> Builder:
         return lambda s: R.measures_by_attribute(
-            R.coarser(_summary(s), ["branch_id"]), s.branches, "branch_id", attribute
+            _summary(s, ["branch_id"]), s.branches, "branch_id", attribute
         )
 
     def counts(s: Silver) -> DataFrame:
@@ -89,8 +89,11 @@ def gold_tables(
     }
 
 
-def _summary(silver: Silver) -> DataFrame:
-    return R.summary_partials(silver.transactions) if silver.summary is None else silver.summary
+def _summary(silver: Silver, keys: Sequence[str]) -> DataFrame:
+    cover = next(names for names in R.SUMMARIES if set(keys) <= set(names))
+    if cover in silver.summaries:
+        return silver.summaries[cover]
+    return R.summary_partials(silver.transactions, cover)
 
 
 def _per_customer(silver: Silver) -> DataFrame:
@@ -106,12 +109,12 @@ def publish_gold(
 ) -> list[str]:
     """Write every gold table and return their qualified names. A rerun replaces them.
 
-    The rollups and the customers' tables come from two written summaries, so the transactions are
-    read once for each.
+    The rollups come from a few small written summaries and the customers' tables from another, so
+    the transactions are read once for each of those and not for each table.
     """
     silver = replace(
         silver,
-        summary=materialise(_summary(silver), "summary"),
+        summaries={keys: materialise(_summary(silver, keys), "summary") for keys in R.SUMMARIES},
         customer_summary=materialise(_per_customer(silver), "customers"),
     )
     published = []
