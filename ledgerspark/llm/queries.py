@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import ann, bpe, mixing, sharding, topk, url_filter
-from ledgerspark.llm.common import ship_package
+from ledgerspark.llm import ann, bpe, dedup, mixing, quality, sharding, topk, toxicity, url_filter
+from ledgerspark.llm.common import held_out, ship_package
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -40,6 +40,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return _judged(quality.score_quality(docs, model), 0.3)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -65,6 +80,16 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search_every_fiftieth(table(spark, sf_dir, "embeddings"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return _judged(toxicity.score_toxicity(docs, model), 0.5)
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -73,10 +98,13 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_shard_by_bytes": op4_shard_by_bytes,
         "op5_exact_top_k": op5_exact_top_k,
         "op6_nearest_neighbours": op6_nearest_neighbours,
+        "op7_near_duplicates": op7_near_duplicates,
+        "op9_toxicity": op9_toxicity,
         "op10_url_rules": op10_url_rules,
     }
 
