@@ -14,6 +14,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -161,7 +162,7 @@ def codec(path: str) -> BytePairCodec:
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, ids array<int>, decoded`` of every row; null text is empty and has no ids.
+    """``id, n_tokens, ids, decoded`` of every row; null text is empty and has no ids.
 
     ``path`` names the vocabulary file on every executor. Repeated rows and null ids are kept as
     they are, further columns are not read.
@@ -170,12 +171,22 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(path)
         for batch in batches:
-            ids = [bpe.encode(t) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "ids": ids, "decoded": [bpe.decode(i) for i in ids]})
+            for at in range(0, len(batch), 512):
+                part = batch.iloc[at : at + 512]
+                coded = [bpe.encode_text(t) for t in part["text"]]
+                yield pd.DataFrame(
+                    {
+                        "id": part["id"],
+                        "n_tokens": [n for _, n in coded],
+                        "ids": [np.fromstring(j, dtype=np.int32, sep=",") for j, _ in coded],
+                        "decoded": [bpe.decode_text(j) for j, _ in coded],
+                    }
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return rows.mapInPandas(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, n_tokens bigint, ids array<int>, decoded string"
+    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

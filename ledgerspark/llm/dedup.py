@@ -272,4 +272,4 @@ def near_duplicates(
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, with their columns, that are the first of their component."""
     gone = near_duplicates(docs, **settings).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return lookup_join(docs, materialise(gone, "dedup-gone"), ["doc_id"], "left_anti").select(*docs.columns)

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerspark.llm.common import WORD, mix64
+from ledgerspark.operators.joins import lookup_join
 from ledgerspark.scratch import materialise
 
 MAX_BLOCKS = 500_000_000  # the generator draws from fewer than 10^9
@@ -179,11 +180,8 @@ def plan_mix(
         F.when(last, F.col("cut_words")).alias("cut_words"),
     ).join(dealt, ["source_id", "draw"])
     draw = F.struct("pass", "shard", "cut_h", "cut_words")
-    return Mix(
-        sources,
-        draws.groupBy("source_id", "block").agg(F.sort_array(F.collect_list(draw)).alias("draws")),
-        shards,
-    )
+    draws = draws.groupBy("source_id", "block").agg(F.sort_array(F.collect_list(draw)).alias("draws"))
+    return Mix(sources, materialise(draws, "mix-draws"), shards)
 
 
 def with_blocks(sized: DataFrame, sources: DataFrame) -> DataFrame:
@@ -287,7 +285,7 @@ def _taken(size: Column, h: Column) -> Column:
 def apply_mix(rows: DataFrame, mix: Mix) -> DataFrame:
     """``source_size, target, copies`` beside the columns of ``rows``, which has ``source, size, h``."""
     blocked = with_blocks(rows, mix.sources).drop("passes", "rest", "blocks")
-    return blocked.join(mix.blocks, ["source_id", "block"], "left").withColumn(
+    return lookup_join(blocked, mix.blocks, ["source_id", "block"], "left").withColumn(
         "copies", _taken(F.col("size"), F.col("h"))
     ).drop("source_id", "block", "draws")
 

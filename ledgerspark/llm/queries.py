@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import ann, bpe, dedup, mixing, quality, sharding, topk, toxicity, url_filter
+from ledgerspark.llm import ann, bpe, dedup, html_text, mixing, quality, sharding, topk, toxicity, url_filter
 from ledgerspark.llm.common import held_out, ship_package
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -84,6 +84,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract_text(pages, html_text.fit_on_pages(pages))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -104,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_top_k": op5_exact_top_k,
         "op6_nearest_neighbours": op6_nearest_neighbours,
         "op7_near_duplicates": op7_near_duplicates,
+        "op8_main_text": op8_main_text,
         "op9_toxicity": op9_toxicity,
         "op10_url_rules": op10_url_rules,
     }
