@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-CACHE = 400_000
+CACHE = 200_000
 LONG = 48
 WIDTH = 1 << 20
 NEVER = 1 << 62

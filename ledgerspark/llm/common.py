@@ -9,14 +9,24 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerspark.operators.joins import lookup_join
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers of every executor this package, once per application."""
+    """Give the Python workers of every executor this package, once per application.
+
+    Texts are long, so a session that does not say otherwise hands ``BATCH_ROWS`` rows at a time to a worker.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -32,14 +42,16 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, label`` of the labelled rows outside fold 0, one for each id and label.
-
-    Null ids and null labels teach nothing.
-    """
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label`` of the labels outside fold 0, one row for each pair; nulls teach nothing."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
-    known = known.filter(F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0)).distinct()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    return known.filter(F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0)).distinct()
+
+
+def labelled_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id, text, label`` of the rows of ``docs`` with a known label; null text is empty."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return lookup_join(texts, known, ["doc_id"], "inner")
 
 
 def held_out(doc_id: Column) -> Column:

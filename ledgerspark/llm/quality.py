@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerspark.llm.common import bounded_sample, held_out, labelled_rows
+from ledgerspark.llm.common import bounded_sample, held_out, known_labels, labelled_rows
 
 SYMBOLS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WIDTH = len(SYMBOLS) + 16
@@ -206,10 +206,10 @@ def fit_quality(
     Labels come only from rows outside fold 0, and so does the unlabelled text, whose labels, if any, are not read. The driver gets
     the measures of these samples, never texts. ``prior`` is estimated where it is not given.
     """
-    positive = labelled_rows(docs, labels, label).filter("label = 1")
+    trusted = bounded_sample(known_labels(labels, label).filter("label = 1"), "doc_id", max_positive, seed=2)
     unlabelled = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return fit_measures(
-        _shuffled(_measured(bounded_sample(positive, "doc_id", max_positive, seed=2))),
+        _shuffled(_measured(labelled_rows(docs, trusted))),
         _shuffled(_measured(bounded_sample(unlabelled, "doc_id", max_unlabelled, seed=3))),
         prior,
     )

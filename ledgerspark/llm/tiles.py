@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerspark.llm.common import BATCH
 from ledgerspark.scratch import materialise
 
 TILE_BYTES = 4 << 20
 MAX_GROUPS = 1 << 16
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager

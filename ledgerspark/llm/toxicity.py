@@ -15,7 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerspark.llm.common import bounded_sample, labelled_rows
+from ledgerspark.llm.common import bounded_sample, known_labels, labelled_rows
+from ledgerspark.scratch import materialise
 
 BITS = 20
 GRAMS = (4, 5, 6)
@@ -108,7 +109,7 @@ def fit_toxicity(
     max_slots: int = 4_096,
     smoothing: float = 0.5,
     decay: float = 5e-4,
-    rounds: int = 300,
+    rounds: int = 200,
 ) -> ToxicityModel:
     """Learn from the labelled rows outside fold 0.
 
@@ -116,7 +117,7 @@ def fit_toxicity(
     more than ``max_slots`` slots each reach the driver. With no row of one class all scores are 0 or
     1, with no rows 0.
     """
-    rows = labelled_rows(docs, labels, label)
+    rows = materialise(labelled_rows(docs, known_labels(labels, label)), "toxicity-labelled")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     none = np.full(1 << BITS, -1, dtype=np.int16)
     if len(sizes) < 2:
