@@ -20,6 +20,7 @@ from ledgerspark.scratch import materialise
 
 BITS = 20
 GRAMS = (4, 5, 6)
+TOXIC_SHARE = 0.25  # of the loss, whatever the share of toxic rows
 
 
 def gram_slots(text: str) -> np.ndarray:
@@ -89,7 +90,7 @@ def fit_logistic(
     values = scale[columns]
     weights, bias = np.ones(len(scale)), 0.0
     m, v = np.zeros(len(scale) + 1), np.zeros(len(scale) + 1)
-    share = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
+    share = np.where(labels == 1, TOXIC_SHARE / max(1, labels.sum()), (1 - TOXIC_SHARE) / max(1, (1 - labels).sum()))
     for step in range(1, rounds + 1):
         total = bias + np.bincount(rows, values * weights[columns], minlength=len(held))
         error = (1 / (1 + np.exp(-np.clip(total, -50, 50))) - labels) * share
@@ -106,9 +107,9 @@ def fit_toxicity(
     labels: DataFrame,
     label: str = "toxic",
     max_rows: int = 6_000,
-    max_slots: int = 4_096,
+    max_slots: int = 2_048,
     smoothing: float = 0.5,
-    decay: float = 5e-4,
+    decay: float = 2e-3,
     rounds: int = 200,
 ) -> ToxicityModel:
     """Learn from the labelled rows outside fold 0.
