@@ -11,10 +11,10 @@ class LakeConfig:
 
     account: str
     container: str
+    customers: str
+    branches: str
+    transactions: str
     key_env: str = "LEDGERSPARK_STORAGE_KEY"
-    customers: str = "Transactions/csv/Customers.csv"
-    branches: str = "Transactions/csv/Branches.csv"
-    transactions: str = "Transactions/Transactions/"
 
 
 @dataclass(frozen=True)
@@ -22,16 +22,15 @@ class CatalogConfig:
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
-    main_table_prefix: str = "gb_"
+    main_table_prefix: str = ""
     location: str | None = None
 
 
 @dataclass(frozen=True)
 class StreamConfig:
     header: bool = True
-    timestamp_format: str = "yyyy-MM-dd"
+    timestamp_format: str | None = None
     max_files_per_trigger: int | None = 1000
-    merge_schema: bool = True
     output_mode: str = "append"
     processing_time: str = "30 seconds"
     watermark: str = "1 day"

@@ -42,7 +42,7 @@ def extract_date_parts(
     df: DataFrame, date_column: str, Year: bool = True, Month: bool = False, Day: bool = False
 ) -> DataFrame:
     if date_column not in df.columns:
-        raise ValueError(f"Column {date_column} does not exist in DataFrame.")
+        raise ValueError(f"no column {date_column} to take date parts from")
     moment = F.col(date_column).try_cast("timestamp")
     parts = {
         "year": (Year, F.year(moment)),

@@ -1,8 +1,8 @@
 """Exact money at the speed of integers.
 
-Stored amounts are DOUBLE with whole cents. They are summed as integer cents, in two halves that
-cannot overflow, so a sum does not depend on the order of the rows and costs no decimal arithmetic
-per row.
+Stored amounts are DOUBLE with whole cents. They are summed as integer cents in three parts of 22
+bits at most beside the sign, so a sum does not depend on the order of the rows and costs no
+decimal arithmetic per row. A part is below 2**22, so its BIGINT sum holds for 2**41 rows of a key.
 """
 
 from __future__ import annotations
@@ -11,21 +11,38 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-HALF = 32
+PART = 22
 CENT = Decimal("0.01")
 
 
+def _column(column: str | Column) -> Column:
+    return F.col(column) if isinstance(column, str) else column
+
+
 def cents(column: str | Column) -> Column:
-    """An amount in whole cents; null for what is not a number."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.rint(column * 100).try_cast("bigint")
+    """An amount in whole cents; null for what is not a number or too large for a BIGINT."""
+    column = _column(column)
+    return F.when(~F.isnan(column), F.rint(column * 100).try_cast("bigint"))
+
+
+def countable(column: str | Column) -> Column:
+    """An amount, null where ``cents`` is: what all measures of a group leave out alike."""
+    return F.when(cents(column).isNotNull(), _column(column))
+
+
+def count_excluded(column: str | Column) -> Column:
+    """Aggregate: amounts that are there but not countable."""
+    return F.count_if(_column(column).isNotNull() & cents(column).isNull())
 
 
 def exact_total(integers: Column) -> Column:
     """Aggregate: sum of BIGINT values as a decimal, whatever its size."""
-    high = F.sum(F.shiftright(integers, HALF)).cast("decimal(20,0)")
-    low = F.sum(integers.bitwiseAND(F.lit((1 << HALF) - 1))).cast("decimal(20,0)")
-    return high * F.lit(Decimal(1 << HALF)) + low
+    mask = F.lit((1 << PART) - 1)
+    high = F.sum(F.shiftright(integers, 2 * PART)).cast("decimal(20,0)")
+    middle = F.sum(F.shiftright(integers, PART).bitwiseAND(mask)).cast("decimal(20,0)")
+    low = F.sum(integers.bitwiseAND(mask)).cast("decimal(20,0)")
+    upper = (high * F.lit(Decimal(1 << PART)) + middle).cast("decimal(30,0)")
+    return (upper * F.lit(Decimal(1 << PART)) + low).cast("decimal(38,0)")
 
 
 def exact_sum(column: str | Column) -> Column:
@@ -58,10 +75,13 @@ def mean_in_cents(total_cents: Column, count: Column) -> Column:
 def divided_to_cents(amount: Column, rate: Column) -> Column:
     """``amount`` by a rate with four digits, rounded half away from zero to cents.
 
-    Millionths of the amount by ten-thousandths of the rate are the cents wanted, so the quotient
-    is taken on integers, up to where a double holds them. No rate, or zero, gives null.
+    Millionths of the amount by ten-thousandths of the rate are the cents wanted. The quotient is
+    taken on whole numbers of any size. No rate, or zero, gives null, as does no number.
     """
-    units = (rate * 10000).cast("bigint")
-    exact = mean_in_cents(F.rint(amount * 1_000_000).try_cast("bigint"), units)
-    plain = F.round(F.try_divide(amount, rate.cast("double")), 2)
-    return F.when(F.abs(amount) < 1e9, exact).otherwise(plain)
+    units = (rate * 10000).cast("decimal(18,0)")
+    millionths = (amount.try_cast("decimal(30,6)") * 1_000_000).cast("decimal(36,0)")
+    twice = (F.abs(millionths) * 2 + units).cast("decimal(38,0)")
+    divisor = (units * 2).cast("decimal(20,0)")
+    whole = F.when(units > 0, twice - F.pmod(twice, divisor)).cast("decimal(38,0)")
+    quotient = F.try_divide(whole, divisor).cast("decimal(38,0)")
+    return F.signum(amount) * (quotient * F.lit(CENT)).cast("double")

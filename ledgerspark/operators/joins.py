@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 10_000
+KEYLESS_SALTS = 10_000
 
 # How much of a join's left side may be spread over salts without changing the result.
 SPREADABLE = {"inner", "left", "left_outer", "left_semi", "left_anti"}
@@ -25,17 +25,24 @@ def _equal(on: Sequence[str], null_safe: bool) -> Column:
     return _all([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, at least; nested values by eight times their text, an upper bound."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column))) * 8
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)).cast("bigint") + 16
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` (at most ``max_rows + 1`` rows of it) against both limits."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    width = F.lit(16 * len(df.columns)).cast("bigint")
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
+    """Measure ``df`` against both limits: every column counts, one row per partition moves."""
+    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields])
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -50,9 +57,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join a dimension: broadcast when it measures small, spread by key otherwise.
 
+    ``how`` is one of ``SPREADABLE``, whatever the dimension's size.
+
     On a stream the micro-batch bounds the work, so beyond the limits a plain join is left to the
     engine.
     """
+    if how not in SPREADABLE:
+        raise ValueError(f"a lookup cannot be a {how} join")
     on = list(on)
     small = fits_broadcast(lookup, max_rows, max_bytes)
     if not small and not df.isStreaming:
@@ -73,22 +84,36 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count("*").alias("__n"))
 
 
-def hot_keys(
-    counts: DataFrame, rows_per_task: int = ROWS_PER_TASK, max_hot_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """Keys with too many rows for one task, and the number of salts each is spread over.
-
-    A key is hot when it has more than ``rows_per_task`` rows and more than the
-    ``max_hot_keys``-th part of all rows, so there are fewer than ``max_hot_keys`` of them.
-    """
-    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar()
-    floor = F.greatest(F.lit(rows_per_task).cast("bigint"), F.floor(total / max_hot_keys))
+def hot_keys(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Every key with too many rows for one task, and the number of salts it is spread over."""
     salts = F.ceil(F.col("__n") / rows_per_task).cast("int")
-    return counts.filter(F.col("__n") > floor).select(
+    return counts.filter(F.col("__n") > rows_per_task).select(
         *[c for c in counts.columns if c != "__n"], salts.alias("__salts")
     )
 
 
+def _with_salts(
+    df: DataFrame, hot: DataFrame, on: Sequence[str], null_safe: bool, spread: Column | None
+) -> DataFrame:
+    """``df`` with the salts of its key, null for a key that is not hot.
+
+    A list of hot keys that measures small is broadcast. A longer one is joined on the key and a
+    hash, repeated for every value of the hash, so that no key's rows meet in one task; ``spread`` is that
+    hash, or None where a key has few rows.
+    """
+    if fits_broadcast(hot):
+        tagged = df.alias("l").join(F.broadcast(hot).alias("r"), _equal(on, null_safe), "left")
+    elif spread is None:
+        tagged = df.alias("l").join(hot.alias("r"), _equal(on, null_safe), "left")
+    else:
+        ways = hot.agg(F.max("__salts")).scalar()
+        dealt = df.withColumn("__way", F.pmod(spread, ways).cast("int"))
+        every = hot.withColumn("__way", F.explode(F.sequence(F.lit(0), F.lit(ways) - 1)))
+        same = _equal(on, null_safe) & (F.col("l.__way") == F.col("r.__way"))
+        tagged = dealt.alias("l").join(every.alias("r"), same, "left")
+    return tagged.select(*[F.col(f"l.{c}") for c in df.columns], "r.__salts")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -98,13 +123,11 @@ def skew_join(
     spread_by: Sequence[str] | None = None,
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Shuffle join in which only the hot keys of ``left`` are salted.
 
     Hot rows go to ``__salts`` tasks by a hash of ``spread_by`` (default: the whole row) and the
-    matching right rows are repeated once per salt; all other keys join as usual. The list of hot
-    keys is what gets broadcast, and its length is bounded by ``max_hot_keys``. ``counts`` takes
+    matching right rows are repeated once per salt; all other keys join as usual. ``counts`` takes
     per-key row counts (``__n``) the caller has already; ``left`` should be a written table, since
     it is read once more to count keys otherwise. Rows with a null key cannot match, and are
     spread too; with ``null_safe`` null is a key like any other.
@@ -112,21 +135,17 @@ def skew_join(
     if how not in SPREADABLE:
         raise ValueError(f"{how} join cannot be salted on its left side")
     on = list(on)
-    hot = hot_keys(key_counts(left, on) if counts is None else counts, rows_per_task, max_hot_keys)
-    hot = F.broadcast(hot.select(*on, "__salts"))
+    hot = hot_keys(key_counts(left, on) if counts is None else counts, rows_per_task)
+    hot = hot.select(*on, "__salts")
     spread = F.xxhash64(*(spread_by or left.columns))
 
-    def with_salts(df: DataFrame) -> DataFrame:
-        tagged = df.alias("l").join(hot.alias("r"), _equal(on, null_safe), "left")
-        return tagged.select("l.*", "r.__salts")
-
     salt = F.when(F.col("__salts").isNotNull(), F.pmod(spread, F.col("__salts")))
     if not null_safe:
         keyless = ~_all([F.col(c).isNotNull() for c in on])
-        salt = F.when(keyless, F.pmod(spread, F.lit(max_hot_keys))).otherwise(salt)
-    salted = with_salts(left).withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int"))
+        salt = F.when(keyless, F.pmod(spread, F.lit(KEYLESS_SALTS))).otherwise(salt)
+    salted = _with_salts(left, hot, on, null_safe, spread).withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int"))
     copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
-    repeated = with_salts(right).withColumn("__salt", F.explode(copies))
+    repeated = _with_salts(right, hot, on, null_safe, None).withColumn("__salt", F.explode(copies))
 
     a = salted.drop("__salts").alias("l")
     b = repeated.drop("__salts").alias("r")

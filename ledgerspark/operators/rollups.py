@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspark.functions.money import as_double, exact_mean, exact_sum
+from ledgerspark.functions.money import as_double, countable, exact_mean, exact_sum
 from ledgerspark.operators.joins import lookup_join
 from ledgerspark.operators.windows import SEGMENT_ROWS, running_total, segmented
 
@@ -28,9 +28,9 @@ def partials(df: DataFrame, keys: Sequence[str], measure: str = AMOUNT) -> DataF
     """Measures per key in a form that ``coarser`` can group further."""
     return df.groupBy(*keys).agg(
         exact_sum(measure).alias("__sum"),
-        F.min(measure).alias("__min"),
-        F.max(measure).alias("__max"),
-        F.count(measure).alias("__count"),
+        F.min(countable(measure)).alias("__min"),
+        F.max(countable(measure)).alias("__max"),
+        F.count(countable(measure)).alias("__count"),
     )
 
 
@@ -77,11 +77,11 @@ def measures_by_attribute(
 
 def summary_partials(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Partials by one of ``SUMMARIES``."""
-    return partials(df.withColumn("date", F.to_date("timestamp")), keys)
+    return partials(df.withColumn("date", F.col("timestamp").try_cast("date")), keys)
 
 
 def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:
-    return rollup(df.withColumn("date", F.to_date("timestamp")), ["date"], measure)
+    return rollup(df.withColumn("date", F.col("timestamp").try_cast("date")), ["date"], measure)
 
 
 def currency_analysis(df: DataFrame) -> DataFrame:
@@ -98,9 +98,9 @@ def customer_partials(df: DataFrame) -> DataFrame:
     """One pass over the transactions from which all figures per customer follow."""
     return df.groupBy("customer_id").agg(
         exact_sum(AMOUNT).alias("__sum"),
-        F.min(AMOUNT).alias("__min"),
-        F.max(AMOUNT).alias("__max"),
-        F.count(AMOUNT).alias("__count"),
+        F.min(countable(AMOUNT)).alias("__min"),
+        F.max(countable(AMOUNT)).alias("__max"),
+        F.count(countable(AMOUNT)).alias("__count"),
         exact_sum("amount").alias("__spend"),
         F.count("amount").alias("__spends"),
         F.max("timestamp").alias("last_transaction_date"),

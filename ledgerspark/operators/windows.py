@@ -27,17 +27,21 @@ from ledgerspark.scratch import materialise
 
 SEGMENT = ("__bucket", "__part")
 SEGMENT_ROWS = 5_000_000
+MAX_RANGES = 1_000_000  # what one shuffle can deal to
 
 # Fixed value: monotonically_increasing_id keeps the row's place in its partition in 33 bits.
 PLACE_BITS = 33
 
 
-def ordered_segments(df: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
+def ordered_segments(
+    df: DataFrame, keys: Sequence[str], tag: str, ranges: int | None = None
+) -> DataFrame:
     """Rows sorted by ``keys`` over all partitions, with their partition and place, written once.
 
     ``keys`` should identify a row: rows equal in all of them stay in one partition.
     """
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    dealt = df.repartitionByRange(*keys) if ranges is None else df.repartitionByRange(ranges, *keys)
+    placed = dealt.sortWithinPartitions(*keys)
     row = F.monotonically_increasing_id()
     return materialise(
         placed.select(
@@ -97,16 +101,18 @@ def segmented(
     keys = list(keys)
     order = [*keys, "__bucket", *order_by]
     if bucket is None:
-        return _cut(df.withColumn("__bucket", F.lit(0)), order)
+        rows = df.agg(F.count("*")).first()[0]
+        return _cut(df.withColumn("__bucket", F.lit(0)), order, rows, rows_per_task)
     bucketed = df.withColumn("__bucket", bucket)
     cut_by = [*keys, "__bucket"]
     counts = materialise(key_counts(bucketed, cut_by), "buckets")
     hot = hot_keys(counts, rows_per_task).select(*cut_by)
-    if hot.isEmpty():
+    full = counts.filter(F.col("__n") > rows_per_task).agg(F.sum("__n")).first()[0]
+    if not full:
         return _uncut(bucketed)
     cold_rows = lookup_join(bucketed, hot, cut_by, "left_anti", null_safe=True)
     hot_rows = lookup_join(bucketed, hot, cut_by, "left_semi", null_safe=True)
-    return _uncut(cold_rows).unionByName(_cut(hot_rows, order))
+    return _uncut(cold_rows).unionByName(_cut(hot_rows, order, full, rows_per_task))
 
 
 def _uncut(df: DataFrame) -> DataFrame:
@@ -114,8 +120,10 @@ def _uncut(df: DataFrame) -> DataFrame:
     return df.withColumns({"__part": zero, "__place": zero})
 
 
-def _cut(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    return ordered_segments(df, order, "segments").withColumnRenamed("__segment", "__part")
+def _cut(df: DataFrame, order: Sequence[str], rows: int, rows_per_task: int) -> DataFrame:
+    """Twice as many ranges as full tasks: their bounds are sampled, so some get more rows."""
+    ranges = max(1, min(MAX_RANGES, -(-2 * rows // rows_per_task)))
+    return ordered_segments(df, order, "segments", ranges).withColumnRenamed("__segment", "__part")
 
 
 def cumulative_sum(

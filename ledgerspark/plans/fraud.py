@@ -90,7 +90,8 @@ def flagged_by_outer_joins(df: DataFrame, rules: FraudRules = FraudRules()) -> D
         detect_velocity_check,
     ]
     frames = [
-        detect(df, rules).select(*IDENTITY, flag) for flag, detect in zip(SCORES, detectors)
+        detect(df, rules).select(*IDENTITY, flag).filter(F.col(flag).isNotNull())
+        for flag, detect in zip(SCORES, detectors)
     ]
     return _first_match(full_outer(frames, IDENTITY))
 

@@ -15,11 +15,17 @@ _own_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
+    """The session's ``spark.checkpoint.dir``, or the folder given to ``setCheckpointDir``.
+
+    Where neither is set a session on one machine uses a temporary folder; a cluster is refused.
+    """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    app = context.applicationId
     if shared:
         return f"{shared.rstrip('/')}/ledgerspark/{app}"
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if app not in _own_roots:
         _own_roots[app] = tempfile.mkdtemp(prefix="ledgerspark-")
     return _own_roots[app]

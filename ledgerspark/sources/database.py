@@ -10,15 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
-WHOLE_TABLE_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class DatabaseTable:
-    """A table and, for more than a small one, the numeric or date column its reads split on."""
+    """A table and the numeric or date column its reads split on."""
 
     name: str
-    partition_column: str | None = None
+    partition_column: str
     num_partitions: int = 64
     fetch_size: int = 10_000
 
@@ -30,18 +28,9 @@ def _query(spark: SparkSession, url: str, sql: str, properties: Mapping[str, str
 def read_database_table(
     spark: SparkSession, url: str, table: DatabaseTable, properties: Mapping[str, str]
 ) -> DataFrame:
-    """Parallel read in ranges of the partition column.
-
-    Without one the table would pass through a single task, which is refused beyond
-    ``WHOLE_TABLE_ROWS`` rows.
-    """
+    """Parallel read in ranges of the partition column."""
     options = {**properties, "fetchsize": str(table.fetch_size)}
     column = table.partition_column
-    if column is None:
-        rows = _query(spark, url, f"SELECT COUNT(*) AS n FROM {table.name}", options).first()[0]
-        if rows > WHOLE_TABLE_ROWS:
-            raise ValueError(f"{table.name} has {rows} rows: name a partition column")
-        return spark.read.jdbc(url, table.name, properties=options)
     bounds = _query(
         spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table.name}", options
     ).first()

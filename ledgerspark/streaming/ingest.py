@@ -15,9 +15,10 @@ def read_stream(
     reader = (
         spark.readStream.schema(schema)
         .option("header", config.header)
-        .option("timestampFormat", config.timestamp_format)
         .option("enforceSchema", True)
     )
+    if config.timestamp_format:
+        reader = reader.option("timestampFormat", config.timestamp_format)
     if config.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", config.max_files_per_trigger)
     return reader.csv(path)
@@ -34,7 +35,6 @@ def write_stream(
     writer = (
         df.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
-        .option("mergeSchema", config.merge_schema)
         .outputMode(config.output_mode)
     )
     if available_now:

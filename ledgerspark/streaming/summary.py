@@ -11,7 +11,7 @@ from ledgerspark.operators.profiling import STATS, approx_unique, column_stats,
 def streaming_data_summary(df: DataFrame, relative_error: float = 0.05) -> DataFrame:
     """Row count, and per column non-nulls, approximate distinct values and moments."""
     if not df.isStreaming:
-        raise ValueError("The provided DataFrame is not a streaming DataFrame.")
+        raise ValueError("a running profile needs a stream")
 
     def stats_of(field: T.StructField) -> dict[str, Column]:
         exact = column_stats(field.name, field.dataType)

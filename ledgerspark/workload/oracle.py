@@ -516,8 +516,8 @@ def publish_gold() -> str:
 
     located = "txn LEFT JOIN branch USING (branch_id)"
     tables = {
-        "gb_customer_segmentation_table": "SELECT * FROM members",
-        "gb_fraud_flags_table": "SELECT * FROM flags",
+        "customer_segmentation_table": "SELECT * FROM members",
+        "fraud_flags_table": "SELECT * FROM flags",
         "segment_count_table": groups("segment_name", "members"),
         "customer_segmentation": groups("customer_type", "txn JOIN cust USING (customer_id)"),
         "customer_aggregations_table": groups("customer_id"),

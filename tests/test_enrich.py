@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import enrich as E
-from ledgerspark.functions.money import divided_to_cents, exact_sum, exact_total
+from ledgerspark.functions.money import PART, count_excluded, divided_to_cents, exact_sum, exact_total
+from ledgerspark.operators.rollups import rollup
 from ledgerspark.schemas import RATES
 
 
@@ -56,3 +57,30 @@ def test_sums_are_exact_and_cannot_overflow(spark):
     huge = spark.range(4).select(F.lit(2**63 - 1).alias("v"))
     assert huge.agg(exact_total(F.col("v"))).first()[0] == 4 * (2**63 - 1)
     assert df.filter("a is null").agg(exact_sum("a")).first()[0] is None
+
+
+def test_totals_of_billions_of_rows_do_not_overflow():
+    """The parts of a sum, not the rows: 2.5 billion times minus one cent."""
+    rows, value = 2_500_000_000, -1
+    mask = (1 << PART) - 1
+    high, middle, low = value >> 2 * PART, value >> PART & mask, value & mask
+    assert all(abs(rows * part) < 2**63 for part in (high, middle, low))
+    assert ((rows * high << PART) + rows * middle << PART) + rows * low == rows * value
+
+
+def test_measures_leave_out_the_same_amounts(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1e17), ("a", float("nan")), ("a", None)], "k string, Amount_USD double")
+    row = rollup(df, ["k"]).first()
+    assert (row.total_amount, row.average_amount, row.min_amount, row.max_amount, row.transaction_count) == (1, 1, 1, 1, 1)
+    assert df.agg(count_excluded("Amount_USD")).first()[0] == 2
+
+
+def test_one_rounding_form_at_every_size(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    amounts = [0.005, -0.005, 1.005, 999_999_999.99, 1e9 + 0.07, 3e9 + 0.01, 8e12 + 0.05]
+    rates = [Decimal("0.8000"), Decimal("1.6000"), Decimal("0.3200")]
+    df = spark.createDataFrame([(a, r) for a in amounts for r in rates], "a double, r decimal(10,4)")
+    for a, r, q in df.select("a", "r", divided_to_cents(F.col("a"), F.col("r")).alias("q")).collect():
+        exact = (Decimal(repr(a)) / r).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert q == float(exact), (a, r)

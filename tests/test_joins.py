@@ -44,12 +44,31 @@ def test_salted_join_equals_plain_join(facts, lookup, how, null_safe):
     assert rows(beyond) == rows(plain)
 
 
-def test_hot_keys_are_bounded_and_get_enough_salts(facts):
+def test_every_hot_key_gets_enough_salts(spark, facts):
     hot = J.hot_keys(J.key_counts(facts, ["k"]), rows_per_task=100)
     found = {r.k: r["__salts"] for r in hot.collect()}
     counts = {r.k: r["__n"] for r in J.key_counts(facts, ["k"]).collect()}
     assert found == {k: -(-n // 100) for k, n in counts.items() if n > 100} and 7 in found
-    assert J.hot_keys(J.key_counts(facts, ["k"]), 1, max_hot_keys=5).count() < 5
+    many = spark.range(30_000).selectExpr("id % 10001 AS k")
+    assert J.hot_keys(J.key_counts(many, ["k"]), rows_per_task=1).count() == 10_001
+
+
+def test_a_long_list_of_hot_keys_is_not_broadcast(spark, facts, lookup, monkeypatch):
+    plain = facts.join(lookup, "k", "left").count()
+    monkeypatch.setattr(J, "fits_broadcast", lambda *a, **k: False)
+    assert J.skew_join(facts, lookup, ["k"], "left", rows_per_task=50).count() == plain
+
+
+def test_lookups_accept_the_same_joins_at_every_size(facts, lookup):
+    for how in ("right", "full_outer"):
+        for most in (1, 1000):
+            with pytest.raises(ValueError):
+                J.lookup_join(facts, lookup, ["k"], how, max_rows=most)
+
+
+def test_nested_columns_count_for_the_broadcast(spark):
+    wide = spark.range(90).selectExpr("id", "sequence(0, 9999) AS a", "map('k', repeat('x', 1000)) AS m")
+    assert not J.fits_broadcast(wide, max_bytes=1 << 20)
 
 
 def test_hot_key_is_split_over_tasks(spark, facts, lookup):

@@ -28,7 +28,7 @@ def test_csv_round_trip_keeps_blanks_and_nulls(spark, tmp_path):
 
 
 def test_lake(spark, monkeypatch):
-    lake = LakeConfig(account="acct", container="box", key_env="TEST_LAKE_KEY")
+    lake = LakeConfig("acct", "box", "c.csv", "b.csv", "t/", key_env="TEST_LAKE_KEY")
     assert lake_uri(lake, "/a/b.csv") == "abfss://box@acct.dfs.core.windows.net/a/b.csv"
     monkeypatch.delenv("TEST_LAKE_KEY", raising=False)
     with pytest.raises(KeyError):
@@ -79,22 +79,13 @@ def test_jdbc_reads_in_ranges(spark):
     assert options["properties"] == {"user": "u", "fetchsize": "10000"}
 
 
-def test_jdbc_refuses_a_large_table_in_one_task(spark):
-    rows = spark.createDataFrame([(database.WHOLE_TABLE_ROWS + 1,)], "n long")
-    with pytest.raises(ValueError):
-        read_database_table(Reader({"COUNT(": rows}), "jdbc:x", DatabaseTable("t"), {})
-    few = spark.createDataFrame([(2,)], "n long")
-    reader = Reader({"COUNT(": few, "t": spark.range(2)})
-    assert read_database_table(reader, "jdbc:x", DatabaseTable("t"), {}).count() == 2
-
-
 def test_extract_goes_on_after_a_failure(spark, tmp_path):
     def read(session, url, table, properties):
         if table.name == "branches":
             raise RuntimeError("no such table")
         return session.range(4)
 
-    tables = [DatabaseTable("branches"), DatabaseTable("customers")]
+    tables = [DatabaseTable("branches", "id"), DatabaseTable("customers", "id")]
     failures = extract_jdbc(spark, "jdbc:x", tables, str(tmp_path), read=read)
     assert list(failures) == ["branches"]
     assert spark.read.parquet(str(tmp_path / "customers")).count() == 4
