@@ -121,8 +121,9 @@ def _uncut(df: DataFrame) -> DataFrame:
 
 
 def _cut(df: DataFrame, order: Sequence[str], rows: int, rows_per_task: int) -> DataFrame:
-    """Twice as many ranges as full tasks: their bounds are sampled, so some get more rows."""
-    ranges = max(1, min(MAX_RANGES, -(-2 * rows // rows_per_task)))
+    """Twice as many ranges as full tasks, as their sampled bounds are uneven, or the usual number."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MAX_RANGES, max(usual, -(-2 * rows // rows_per_task)))
     return ordered_segments(df, order, "segments", ranges).withColumnRenamed("__segment", "__part")
 
 

@@ -26,7 +26,7 @@ def rows(df, *columns):
 ORDER = ["t", "id"]
 
 # No bucket; buckets that all fit a task; some too large; all too large.
-CUTS = [(None, 1), ("t div 10", 10_000), ("t div 10", 100), ("t", 1)]
+CUTS = [(None, 250), ("t div 10", 10_000), ("t div 10", 100), ("t", 60)]
 
 
 @pytest.fixture(params=[1, 16])
@@ -120,3 +120,10 @@ def test_exact_median(spark, points, segments):
     plain = df.groupBy("g").agg(F.expr("percentile_disc(0.5) within group (order by Amount_USD)").alias("m"))
     ours = R.median_exact(df, ["g"])
     assert rows(ours, "g", "median_amount_usd") == rows(plain, "g", "m")
+
+
+def test_full_buckets_are_cut_to_size(points):
+    cut = W.segmented(points, ["g"], ORDER, F.expr("t div 10"), 100)
+    parts = cut.groupBy("g", *W.SEGMENT).count()
+    assert parts.agg(F.max("count")).first()[0] <= 100
+    assert cut.count() == points.count()
