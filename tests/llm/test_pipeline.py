@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from ledgerspark.llm import bpe, dedup, queries
 from ledgerspark.scratch import materialise
+from tests.oracle_check import compare, duck
 
 
 def test_stages(spark):
@@ -28,10 +29,11 @@ def test_stages(spark):
 
 
 @pytest.mark.parametrize("name", ["op5_exact_top_k", "op10_url_rules"])
-def test_queries_are_registered_with_sql(name):
+def test_queries_equal_their_sql(spark, name):
     import __spark_entry__ as contract
 
-    assert name in contract.queries() and name in contract.oracle_sql()
+    folder = "/root/testdata/sf0.01"
+    assert compare(contract.queries()[name](spark, folder), duck(folder), contract.oracle_sql()[name]) is None
 
 
 def test_every_operator_has_a_query():
