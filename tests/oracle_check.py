@@ -9,7 +9,10 @@ import time
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from ledgerspark.workload import oracle, queries as registered
 from tests.oracle_check import compare, duck
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registered.queries()
+SQL = oracle.oracle_sql()
 ROWS_ONLY = {"profile_approx", "median_approx"}
 
 
@@ -25,6 +26,10 @@ def test_equals_sql(spark, sf_dir, con, name):
     assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
 
 
+def test_the_contract_has_all_of_them():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
