@@ -50,6 +50,7 @@ HEADLINE = [
     "rolling_avg_days",
     "sequential_ids",
     "audit_integrity",
+    "publish_gold",
 ]
 
 
