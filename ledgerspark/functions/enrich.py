@@ -71,7 +71,8 @@ def extract_pincode(df: DataFrame, address_column: str, pincode_column: str) ->
 def add_coordinates(df: DataFrame, gazetteer: DataFrame, digits: int = 2) -> DataFrame:
     """Latitude and longitude by location name, compared without case and outer blanks.
 
-    The gazetteer holds one row per location; a name it lacks keeps null coordinates.
+    A name the gazetteer lacks keeps null coordinates; of one that it lists several times, or in several
+    spellings, the least pair counts.
     """
     place = F.upper(F.trim("location"))
     known = gazetteer.select(
@@ -79,6 +80,8 @@ def add_coordinates(df: DataFrame, gazetteer: DataFrame, digits: int = 2) -> Dat
         F.round("latitude", digits).alias("latitude"),
         F.round("longitude", digits).alias("longitude"),
     )
+    known = known.groupBy("__place").agg(F.min(F.struct("latitude", "longitude")).alias("__at"))
+    known = known.select("__place", "__at.latitude", "__at.longitude")
     return lookup_join(df.withColumn("__place", place), known, ["__place"]).drop("__place")
 
 
@@ -87,10 +90,10 @@ def convert_currency_to_usd(
 ) -> DataFrame:
     """``amount`` divided by its currency's units per USD, rounded half up to cents.
 
-    An unlisted currency takes ``default_rate``; with ``None`` it gives null instead. ``rates``
-    holds one row per currency.
+    An unlisted currency takes ``default_rate``; with ``None`` it gives null instead. Of a currency
+    that ``rates`` lists several times the greatest rate counts.
     """
-    listed = rates.select("currency", F.col("rate").cast("decimal(10,4)").alias("__rate"))
+    listed = rates.groupBy("currency").agg(F.max(F.col("rate").cast("decimal(10,4)")).alias("__rate"))
     rate = F.col("__rate")
     if default_rate is not None:
         rate = F.coalesce(rate, F.lit(default_rate).cast("decimal(10,4)"))

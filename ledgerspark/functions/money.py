@@ -13,6 +13,7 @@ from pyspark.sql import Column, functions as F
 
 PART = 22
 CENT = Decimal("0.01")
+MILLION = 1_000_000
 
 
 def _column(column: str | Column) -> Column:
@@ -50,6 +51,19 @@ def exact_sum(column: str | Column) -> Column:
     return in_money(exact_total(cents(column)))
 
 
+def exact_sum_unrounded(column: str | Column) -> Column:
+    """Aggregate: sum of an amount to the millionth, as a decimal with six digits.
+
+    Whole units and millionths are summed apart. A row has a million of the latter at most, so their
+    BIGINT sum holds for 2**43 rows of a key.
+    """
+    amount = countable(column)
+    whole = F.floor(amount)
+    rest = F.sum(F.rint((amount - whole) * MILLION).cast("bigint")).cast("decimal(20,0)")
+    total = exact_total(whole) * F.lit(Decimal(MILLION)) + rest
+    return (total.cast("decimal(38,0)") * F.lit(Decimal(1) / MILLION)).cast("decimal(38,6)")
+
+
 def in_money(total_cents: Column) -> Column:
     return total_cents.cast("decimal(24,0)") * F.lit(CENT)
 

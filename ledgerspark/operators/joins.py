@@ -54,10 +54,11 @@ def lookup_join(
     null_safe: bool = False,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join a dimension: broadcast when it measures small, spread by key otherwise.
 
-    ``how`` is one of ``SPREADABLE``, whatever the dimension's size.
+    ``how`` is one of ``SPREADABLE``, whatever the dimension's size. ``counts`` is for ``skew_join``.
 
     On a stream the micro-batch bounds the work, so beyond the limits a plain join is left to the
     engine.
@@ -67,7 +68,7 @@ def lookup_join(
     on = list(on)
     small = fits_broadcast(lookup, max_rows, max_bytes)
     if not small and not df.isStreaming:
-        return skew_join(df, lookup, on, how, null_safe=null_safe)
+        return skew_join(df, lookup, on, how, counts=counts, null_safe=null_safe)
     right = F.broadcast(lookup) if small else lookup
     joined = df.alias("l").join(right.alias("r"), _equal(on, null_safe), how)
     return joined.select(*_output(df, lookup, on, how))
@@ -158,10 +159,13 @@ def join_customer_branch_transaction(
 ) -> DataFrame:
     """Transactions of known customers at known branches; transaction columns only.
 
-    Inner joins: a customer or branch listed twice repeats its transactions.
+    Inner joins: a customer or branch listed twice repeats its transactions. Hot customers are told
+    from the transactions themselves, so the first join is not run again to count its keys.
     """
     at_branch = lookup_join(transactions, branches.select("branch_id"), ["branch_id"], "inner")
-    return lookup_join(at_branch, customers.select("customer_id"), ["customer_id"], "inner")
+    known = customers.select("customer_id")
+    counts = key_counts(transactions, ["customer_id"])
+    return lookup_join(at_branch, known, ["customer_id"], "inner", counts=counts)
 
 
 def transaction_with_location(transactions: DataFrame, branches: DataFrame) -> DataFrame:

@@ -48,35 +48,80 @@ def exact_unique(df: DataFrame) -> DataFrame:
     Columns are stacked into (column, value) pairs that combine on the map side, so a row of the
     shuffle is one value and not the whole width of the table.
     """
-    texts = []
-    for field in df.schema.fields:
-        value = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-        texts.append(value.cast("string"))
+    texts = [_as_text(field) for field in df.schema.fields]
     pairs = df.select(F.posexplode(F.array(*texts)).alias("place", "value"))
     distinct = pairs.filter(F.col("value").isNotNull()).distinct()
     name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("place"))
     return distinct.groupBy(name.alias("column_name")).agg(F.count("*").alias("unique_count"))
 
 
+def exact_summary(df: DataFrame) -> DataFrame:
+    """Counts, distinct values and moments per column, all from one shuffle.
+
+    Columns are stacked into (column, value) pairs and counted per pair, nulls too; everything else
+    follows from those counts. Deviations are taken from the mean, which is one number per column.
+    """
+    fields = df.schema.fields
+    numeric = F.get(F.array(*[F.lit(isinstance(f.dataType, T.NumericType)) for f in fields]), F.col("place"))
+    value = F.when(numeric, F.col("value").try_cast("double"))
+    pairs = (
+        df.select(F.posexplode(F.array(*[_as_text(f) for f in fields])).alias("place", "value"))
+        .groupBy("place", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    there = F.when(F.col("value").isNotNull(), F.col("n"))
+    counts = pairs.groupBy("place").agg(
+        F.sum("n").alias("total_count"),
+        F.sum(there).alias("non_null_count"),
+        F.count("value").alias("unique_count"),
+        F.try_divide(F.sum(value * F.col("n")), F.sum(there)).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    # One row per column, so what is broadcast is as bounded as the schema.
+    centred = pairs.join(F.broadcast(counts.select("place", "mean")), "place")
+    squares = centred.groupBy("place").agg(
+        F.sum((value - F.col("mean")) ** 2 * F.col("n")).alias("__squares")
+    )
+    columns = df.sparkSession.range(0, len(fields), 1, 1).select(F.col("id").cast("int").alias("place"))
+    known = columns.join(F.broadcast(counts), "place", "left").join(F.broadcast(squares), "place", "left")
+    number = {c: F.coalesce(c, F.lit(0)) for c in ("total_count", "non_null_count", "unique_count")}
+    spread = F.sqrt(F.col("__squares") / (F.col("non_null_count") - 1))
+    return known.withColumns(number).select(
+        F.get(F.array(*[F.lit(f.name) for f in fields]), F.col("place")).alias("column_name"),
+        "total_count",
+        "non_null_count",
+        (F.col("total_count") - F.col("non_null_count")).alias("null_count"),
+        "unique_count",
+        "mean",
+        F.when(F.col("non_null_count") > 1, spread).alias("stddev"),
+        "min",
+        "max",
+    )
+
+
+def _as_text(field: T.StructField) -> Column:
+    """A value as text that tells equal from different; -0.0 and 0.0 are one value."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        value = value.cast("double") + F.lit(0.0)
+    return value.cast("string")
+
+
 def data_summary(
     df: DataFrame, approx: bool = False, relative_error: float = 0.05, digits: int | None = None
 ) -> DataFrame:
     """Rows, non-nulls, nulls and distinct values per column; moments of the numeric ones.
 
-    Exact distinct counts read the frame a second time and shuffle its distinct values; ``approx``
-    keeps one fixed-size sketch per column in the one pass.
+    Exact distinct counts shuffle the distinct values of every column; ``approx`` keeps one
+    fixed-size sketch per column. Either reads the frame once.
     """
 
     def stats_of(field: T.StructField) -> dict[str, Column]:
         stats = column_stats(field.name, field.dataType)
-        return {**stats, **approx_unique(field.name, relative_error)} if approx else stats
+        return {**stats, **approx_unique(field.name, relative_error)}
 
-    if approx:
-        summary = summarise(df, stats_of, [*STATS, "unique_count"])
-    else:
-        summary = summarise(df, stats_of, STATS).join(exact_unique(df), "column_name", "left")
+    summary = summarise(df, stats_of, [*STATS, "unique_count"]) if approx else exact_summary(df)
     moments = [F.round(c, digits).alias(c) if digits is not None else c for c in STATS[1:3]]
     return summary.select(
         "column_name",

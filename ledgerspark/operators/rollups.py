@@ -6,9 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspark.functions.money import as_double, countable, exact_mean, exact_sum
+from ledgerspark.functions.money import (
+    as_double,
+    countable,
+    exact_mean,
+    exact_sum,
+    exact_sum_unrounded,
+)
 from ledgerspark.operators.joins import lookup_join
 from ledgerspark.operators.windows import SEGMENT_ROWS, running_total, segmented
+from ledgerspark.scratch import materialise
 
 AMOUNT = "Amount_USD"
 
@@ -19,7 +26,7 @@ PARTIALS = ("__sum", "__min", "__max", "__count")
 # them. One set of all keys would hardly combine at all.
 SUMMARIES = (
     ("currency", "channel", "transaction_type", "status"),
-    ("year", "month", "date"),
+    ("year", "month", "date", "hour"),
     ("branch_id",),
 )
 
@@ -77,7 +84,9 @@ def measures_by_attribute(
 
 def summary_partials(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Partials by one of ``SUMMARIES``."""
-    return partials(df.withColumn("date", F.col("timestamp").try_cast("date")), keys)
+    moment = F.col("timestamp")
+    parts_of_time = {"date": moment.try_cast("date"), "hour": F.hour(moment.try_cast("timestamp"))}
+    return partials(df.withColumns(parts_of_time), keys)
 
 
 def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:
@@ -87,8 +96,8 @@ def rollup_by_date(df: DataFrame, measure: str = AMOUNT) -> DataFrame:
 def currency_analysis(df: DataFrame) -> DataFrame:
     """Unrounded total and mean per currency."""
     parts = df.groupBy("currency").agg(
-        exact_sum(AMOUNT).cast("double").alias("total_amount_by_currency"),
-        F.count(AMOUNT).alias("__count"),
+        exact_sum_unrounded(AMOUNT).cast("double").alias("total_amount_by_currency"),
+        F.count(countable(AMOUNT)).alias("__count"),
     )
     mean = F.try_divide(F.col("total_amount_by_currency"), F.col("__count"))
     return parts.withColumn("avg_amount_by_currency", mean).drop("__count")
@@ -101,8 +110,8 @@ def customer_partials(df: DataFrame) -> DataFrame:
         F.min(countable(AMOUNT)).alias("__min"),
         F.max(countable(AMOUNT)).alias("__max"),
         F.count(countable(AMOUNT)).alias("__count"),
-        exact_sum("amount").alias("__spend"),
-        F.count("amount").alias("__spends"),
+        exact_sum_unrounded("amount").alias("__spend"),
+        F.count(countable("amount")).alias("__spends"),
         F.max("timestamp").alias("last_transaction_date"),
     )
 
@@ -194,8 +203,21 @@ def tiers_of(parts: DataFrame, low: float = 1000, medium: float = 5000) -> DataF
 def peak_off_peak(df: DataFrame, first_hour: int = 8, last_hour: int = 18) -> DataFrame:
     """Totals in and outside the peak hours, both inclusive (18 covers 18:59)."""
     hour = F.hour(F.col("timestamp").try_cast("timestamp"))
-    period = F.when(hour.between(first_hour, last_hour), "Peak").otherwise("Off-Peak")
-    parts = partials(df.withColumn("time_period", period), ["time_period"], AMOUNT)
+    period = _period(hour, first_hour, last_hour)
+    return _period_measures(partials(df.withColumn("time_period", period), ["time_period"]))
+
+
+def peak_of(parts: DataFrame, first_hour: int = 8, last_hour: int = 18) -> DataFrame:
+    """``peak_off_peak`` from partials by hour and any other keys."""
+    period = _period(F.col("hour"), first_hour, last_hour)
+    return _period_measures(coarser(parts.withColumn("time_period", period), ["time_period"]))
+
+
+def _period(hour: Column, first_hour: int, last_hour: int) -> Column:
+    return F.when(hour.between(first_hour, last_hour), "Peak").otherwise("Off-Peak")
+
+
+def _period_measures(parts: DataFrame) -> DataFrame:
     return parts.select(
         "time_period",
         as_double(F.col("__sum"), 2).alias("total_amount_usd"),
@@ -232,16 +254,17 @@ def median_exact(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame
     """Lower median: the least amount with at least half of the group's amounts up to it.
 
     Amounts are counted per value and the counts are summed along the value order, so no group is
-    held in one task.
+    held in one task. The counts are written, and all else is read from them.
     """
     keys = list(keys)
     values = df.filter(F.col(AMOUNT).isNotNull()).groupBy(*keys, AMOUNT).agg(
         F.count("*").alias("__n")
     )
+    values = materialise(values, "amounts")
     rows = segmented(values, keys, [AMOUNT], None, SEGMENT_ROWS)
     upto = running_total(rows, F.col("__n"), keys, [AMOUNT], "__upto")
     upto = upto.select(*keys, AMOUNT, "__upto")
-    sizes = values.groupBy(*keys).agg(F.sum("__n").alias("__size"))
+    sizes = rows.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     reached = lookup_join(upto, sizes, keys, null_safe=True).filter(
         F.col("__upto") * 2 >= F.col("__size")
     )
@@ -250,7 +273,12 @@ def median_exact(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame
 
 def percent_of_total(df: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame:
     """Total per group and its share of the grand total, in percent to two digits."""
-    totals = df.groupBy(*keys).agg(exact_sum(AMOUNT).alias("__sum"))
+    return share_of_total(partials(df, list(keys)), keys)
+
+
+def share_of_total(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``percent_of_total`` from partials by the same keys."""
+    totals = parts.select(*keys, "__sum")
     grand = totals.agg(F.sum("__sum")).scalar()
     share = F.round(F.try_divide(F.col("__sum") * 100, grand), 2)
     return totals.select(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerspark.functions.money import (
     as_double,
     cents,
+    countable,
     exact_mean,
     exact_sum,
     exact_total,
@@ -269,7 +270,7 @@ def rolling_average_days(
     daily = (
         df.withColumn("date", F.to_date(F.col(timestamp).try_cast("timestamp")))
         .groupBy(*keys, "date")
-        .agg(exact_sum(value).alias("__sum"), F.count(value).alias("__count"))
+        .agg(exact_sum(value).alias("__sum"), F.count(countable(value)).alias("__count"))
     )
     span = Window.partitionBy(*keys).orderBy(F.unix_date("date")).rangeBetween(-(days - 1), 0)
     mean = exact_mean(F.sum("__sum").over(span), F.sum("__count").over(span))

@@ -43,16 +43,19 @@ def gold_tables(
             _summary(s, ["branch_id"]), s.branches, "branch_id", attribute
         )
 
-    def counts(s: Silver) -> DataFrame:
-        return S.segment_counts(S.segment_members(s.customers, s.transactions, rules.segments))
+    def members(s: Silver) -> DataFrame:
+        if rules.segments.high_value_measure == "amount":
+            return S.segment_members_of(s.customers, _per_customer(s), rules.segments)
+        return S.segment_members(s.customers, s.transactions, rules.segments)
+
+    def shares(s: Silver) -> DataFrame:
+        return R.share_of_total(R.coarser(_summary(s, ["channel"]), ["channel"]), ["channel"])
 
     main = catalog.main_table_prefix
     return {
-        f"{main}customer_segmentation_table": lambda s: S.customer_segmentation(
-            s.customers, s.transactions, rules.segments
-        ),
+        f"{main}customer_segmentation_table": lambda s: S.numbered_members(members(s)),
         f"{main}fraud_flags_table": lambda s: fraud_flags(s.transactions, rules.fraud),
-        "segment_count_table": counts,
+        "segment_count_table": lambda s: S.segment_counts(members(s)),
         "customer_segmentation": lambda s: R.type_totals_of(s.customers, _per_customer(s)),
         "customer_aggregations_table": lambda s: R.measures(_per_customer(s), ["customer_id"]),
         "currency_analysis": lambda s: R.currency_analysis(s.transactions),
@@ -72,12 +75,12 @@ def gold_tables(
         "customer_segments_table": lambda s: R.tiers_of(_per_customer(s), *rules.tier_edges),
         "last_transaction_table": lambda s: R.last_of(_per_customer(s)),
         "churn_table": lambda s: R.churn_of(R.last_of(_per_customer(s)), rules.churn_days),
-        "peak_off_peak_table": lambda s: R.peak_off_peak(s.transactions, *rules.peak_hours),
+        "peak_off_peak_table": lambda s: R.peak_of(_summary(s, ["hour"]), *rules.peak_hours),
         "transaction_frequency_table": lambda s: R.amount_histogram(
             s.transactions, rules.histogram_edges
         ),
         "median_table": lambda s: R.median_approx(s.transactions),
-        "percentage_table": lambda s: R.percent_of_total(s.transactions),
+        "percentage_table": shares,
         "rolling_avg_table": lambda s: rolling_average_rows(
             s.transactions,
             R.AMOUNT,

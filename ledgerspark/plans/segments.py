@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspark.config import SegmentRules
-from ledgerspark.functions.money import exact_sum
+from ledgerspark.functions.money import exact_sum_unrounded
 from ledgerspark.operators.windows import sequential_ids
 
 # The published segment descriptions.
@@ -34,11 +33,18 @@ def _members(customers: DataFrame, name: str, rules: SegmentRules) -> DataFrame:
     )
 
 
-def high_value(transactions: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
-    totals = transactions.groupBy("customer_id").agg(
-        exact_sum(rules.high_value_measure).alias("__total")
+def spend_of(transactions: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
+    return transactions.groupBy("customer_id").agg(
+        exact_sum_unrounded(rules.high_value_measure).alias("__spend")
     )
-    return _members(totals.filter(F.col("__total") > rules.high_value_total), "High_Value", rules)
+
+
+def high_value(transactions: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
+    return _high_value(spend_of(transactions, rules), rules)
+
+
+def _high_value(spend: DataFrame, rules: SegmentRules) -> DataFrame:
+    return _members(spend.filter(F.col("__spend") > rules.high_value_total), "High_Value", rules)
 
 
 def new_user(customers: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
@@ -48,8 +54,11 @@ def new_user(customers: DataFrame, rules: SegmentRules = SegmentRules()) -> Data
 
 def recent_customers(transactions: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
     """Customers with a transaction after the cutoff; text timestamps compare as they sort."""
-    cutoff: Column = F.lit(f"{_days_before(rules, rules.inactive_days)} 00:00:00")
-    return transactions.filter(F.col("timestamp") > cutoff).select("customer_id").distinct()
+    return transactions.filter(F.col("timestamp") > _cutoff(rules)).select("customer_id").distinct()
+
+
+def _cutoff(rules: SegmentRules) -> Column:
+    return F.lit(f"{_days_before(rules, rules.inactive_days)} 00:00:00")
 
 
 def inactive(
@@ -73,20 +82,50 @@ def segment_members(
     customers: DataFrame, transactions: DataFrame, rules: SegmentRules = SegmentRules()
 ) -> DataFrame:
     """All memberships, not numbered."""
-    parts = [
-        high_value(transactions, rules),
-        new_user(customers, rules),
-        inactive(customers, transactions, rules),
-        credit_risk(customers, rules),
-        loyal(customers, rules),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    recent = recent_customers(transactions, rules)
+    return _members_of(customers, spend_of(transactions, rules), recent, rules)
+
+
+def segment_members_of(
+    customers: DataFrame, parts: DataFrame, rules: SegmentRules = SegmentRules()
+) -> DataFrame:
+    """The same memberships from the per-customer partials, which sum up ``amount``."""
+    recent = parts.filter(F.col("last_transaction_date") > _cutoff(rules)).select("customer_id")
+    return _members_of(customers, parts, recent, rules)
+
+
+def _members_of(
+    customers: DataFrame, spend: DataFrame, recent: DataFrame, rules: SegmentRules
+) -> DataFrame:
+    """One pass over the customers for the four segments that are theirs."""
+    marked = customers.join(recent.withColumn("__recent", F.lit(True)), "customer_id", "left")
+    rule = {
+        "New_User": F.col("join_date") > F.lit(_days_before(rules, rules.new_user_days)),
+        "Inactive": F.col("__recent").isNull(),
+        "Credit_Risk": F.col("credit_score") < rules.credit_risk_below,
+        "Loyal": F.col("join_date") < F.lit(_days_before(rules, rules.loyal_days)),
+    }
+    texts = {
+        name: F.struct(
+            F.lit(name).alias("segment_name"),
+            F.lit(DESCRIPTIONS[name]).alias("segment_description"),
+        )
+        for name in rule
+    }
+    held = F.array_compact(F.array(*[F.when(rule[name], texts[name]) for name in rule]))
+    theirs = marked.select("customer_id", F.inline(held)).withColumn(
+        "last_update", F.lit(rules.as_of).cast("timestamp")
+    )
+    return _high_value(spend, rules).unionByName(theirs)
 
 
 def customer_segmentation(
     customers: DataFrame, transactions: DataFrame, rules: SegmentRules = SegmentRules()
 ) -> DataFrame:
-    members = segment_members(customers, transactions, rules)
+    return numbered_members(segment_members(customers, transactions, rules))
+
+
+def numbered_members(members: DataFrame) -> DataFrame:
     numbered = sequential_ids(members, ["customer_id", "segment_name"], "segment_id", "S")
     return numbered.select(
         "segment_id", "customer_id", "segment_name", "segment_description", "last_update"

@@ -23,10 +23,11 @@ def streaming_data_summary(df: DataFrame, relative_error: float = 0.05) -> DataF
 def start_summary(
     summary: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Keep the latest summary under ``path``, one folder per batch."""
+    """Keep the last two summaries under ``path``: a batch replaces the one before the last."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id:012d}")
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path.rstrip('/')}/slot={batch_id % 2}")
 
     writer = (
         summary.writeStream.outputMode("complete")
@@ -41,6 +42,7 @@ def start_summary(
 def latest_summary(summary: DataFrame, path: str) -> DataFrame:
     """The rows of the newest batch written by ``start_summary``."""
     spark = summary.sparkSession
-    batches = spark.read.schema(summary.schema.add("batch", "string")).parquet(path)
+    schema = T.StructType([*summary.schema.fields, T.StructField("batch", T.LongType())])
+    batches = spark.read.schema(schema).parquet(path)
     newest = batches.agg(F.max("batch")).scalar()
-    return batches.filter(F.col("batch") == newest).drop("batch")
+    return batches.filter(F.col("batch") == newest).drop("batch", "slot")

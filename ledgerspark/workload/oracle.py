@@ -288,6 +288,10 @@ NULLS = ", ".join(
     f'CAST(count(*) - count("{c}") AS BIGINT) AS "{c}"' for c in TRANSACTION_COLUMNS
 )
 
+PROFILE = profile(
+    "raw_transactions", ["amount"], [c for c in TRANSACTION_COLUMNS if c != "amount"], distinct=False
+)
+
 QUERIES = {
     # sources and sinks: what is read back equals what was written
     "scan_csv": "SELECT * FROM raw_customers",
@@ -325,6 +329,7 @@ QUERIES = {
         ["amount"],
         [c for c in TRANSACTION_COLUMNS if c != "amount"],
     ),
+    "profile_approx": f"SELECT *, TRUE AS unique_within_bound FROM ({PROFILE})",
     "null_counts": f"SELECT {NULLS} FROM raw_transactions",
     # enrichment
     "format_dates": """SELECT customer_id, join_date,
@@ -395,6 +400,8 @@ QUERIES = {
         FROM (SELECT usd FROM txn UNION ALL SELECT usd FROM event_txn) GROUP BY 1""",
     "median_exact": f"""SELECT channel, {dollars('quantile_disc(usd, 0.5)')} AS median_amount_usd
         FROM txn GROUP BY channel""",
+    "median_approx": """SELECT channel, count(usd) AS transaction_count, TRUE AS median_within_bound
+        FROM txn GROUP BY channel""",
     "percent_of_total": f"""SELECT channel, {dollars('sum(usd)')} AS total_amount_usd,
         {dollars('(2 * sum(usd) * 10000 + any_value(g)) // (2 * any_value(g))')}
             AS percentage_of_total
@@ -438,12 +445,8 @@ QUERIES = {
     "sequential_ids": f"""SELECT transaction_id, {numbered('N', '"timestamp", transaction_id')}
         AS sequence_id FROM txn""",
     # streams
-    "stream_profile": profile(
-        "raw_transactions",
-        ["amount"],
-        [c for c in TRANSACTION_COLUMNS if c != "amount"],
-        distinct=False,
-    ),
+    "stream_profile": f"SELECT *, TRUE AS unique_within_bound FROM ({PROFILE})",
+    "stream_customers": "SELECT * FROM raw_customers",
     "stream_silver": f"""SELECT transaction_id, customer_id, 'B0' AS branch_id,
         upper(channel) AS channel, 'PAYMENT' AS transaction_type, amount, currency, "timestamp",
         'COMPLETED' AS status, CAST(substr("timestamp", 1, 4) AS INTEGER) AS "year",
@@ -510,47 +513,80 @@ def catalog_bootstrap() -> str:
     return " UNION ALL ".join(parts)
 
 
+SILVER_COLUMNS = f"{' '.join(TRANSACTION_COLUMNS)} year month Amount_USD"
+T5_COLUMNS = "total_amount average_amount min_amount max_amount transaction_count"
+DOUBLES = set(
+    "confidence_score total_amount average_amount min_amount max_amount total_spend avg_transaction_amount "
+    "total_amount_by_currency avg_amount_by_currency amount Amount_USD total_amount_usd average_amount_usd "
+    "percentage_of_total rolling_avg_amount_usd".split()
+)
+
+# The published tables: the query each one equals, and its columns.
+GOLD = {
+    "customer_segmentation_table": (
+        "customer_segmentation", "segment_id customer_id segment_name segment_description last_update"),
+    "fraud_flags_table": (
+        "fraud_flags", "transaction_id customer_id month year flag_type confidence_score "
+        "transaction_datetime flag_id"),
+    "segment_count_table": ("segment_counts", "segment_name count"),
+    "customer_segmentation": (
+        "customer_type_agg", "customer_type total_customers avg_transaction_amount total_spend"),
+    "customer_aggregations_table": ("agg_customer", f"customer_id {T5_COLUMNS}"),
+    "currency_analysis": (
+        "currency_analysis", "currency total_amount_by_currency avg_amount_by_currency"),
+    "branch_aggregations_table": ("agg_branch", f"branch_id {T5_COLUMNS}"),
+    "transaction_with_location_table": ("txn_with_location", f"{SILVER_COLUMNS} location timezone"),
+    "location_aggregations_table": ("agg_location", f"location {T5_COLUMNS}"),
+    "timezone_aggregations_table": ("agg_timezone", f"timezone {T5_COLUMNS}"),
+    "currency_aggregations_table": ("agg_currency", f"currency {T5_COLUMNS}"),
+    "channel_aggregations_table": ("agg_channel", f"channel {T5_COLUMNS}"),
+    "transaction_type_aggregations_table": ("agg_txn_type", f"transaction_type {T5_COLUMNS}"),
+    "year_month_aggregations_table": ("agg_year_month", f"year month {T5_COLUMNS}"),
+    "date_aggregations_table": ("agg_date", f"date {T5_COLUMNS}"),
+    "status_aggregations_table": ("agg_status", f"status {T5_COLUMNS}"),
+    "channel_type_aggregations_table": ("agg_channel_type", f"channel transaction_type {T5_COLUMNS}"),
+    "customer_segments_table": ("value_tiers", "customer_id total_amount_usd segment"),
+    "last_transaction_table": ("last_transaction", "customer_id last_transaction_date current_date"),
+    "churn_table": (
+        "churn_status", "customer_id last_transaction_date current_date days_since_last_transaction "
+        "churn_status"),
+    "peak_off_peak_table": (
+        "peak_offpeak", "time_period total_amount_usd average_amount_usd transaction_count"),
+    "transaction_frequency_table": ("amount_histogram", "amount_range transaction_count"),
+    "median_table": ("median_exact", "channel"),
+    "percentage_table": ("percent_of_total", "channel total_amount_usd percentage_of_total"),
+    "rolling_avg_table": ("rolling_avg_rows", f"{SILVER_COLUMNS} rolling_avg_amount_usd"),
+}
+
+
+def published(name: str) -> str:
+    """The query a published table equals, over the silver transactions alone."""
+    query = QUERIES[name]
+    if name == "value_tiers":
+        return query.replace("event_txn", "txn")
+    if name == "amount_histogram":
+        return query.replace("UNION ALL SELECT usd FROM event_txn", "")
+    if name == "rolling_avg_rows":
+        return f"SELECT * FROM silver_transactions JOIN ({query}) USING (transaction_id, channel, \"timestamp\", \"Amount_USD\")"
+    return query
+
+
+def content_of(query: str, columns: str) -> str:
+    """Rows, and an order-free sum of a hash of every row's values, columns by name."""
+    texts = []
+    for name in sorted(columns.split()):
+        value = f'floor("{name}" * 10000 + CAST(0.5 AS DOUBLE))' if name in DOUBLES else f'"{name}"'
+        value = f"CAST({value} AS BIGINT)" if name in DOUBLES else value
+        texts.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    row = f"md5(concat_ws('|', {', '.join(texts)}))"
+    number = f"CAST('0x' || substr({row}, 1, 8) AS BIGINT)"
+    return f"count(*) AS row_count, CAST(coalesce(sum({number}), 0) AS BIGINT) AS content_hash FROM ({query})"
+
+
 def publish_gold() -> str:
-    def groups(keys: str, source: str = "txn") -> str:
-        return f"SELECT DISTINCT {keys} FROM {source}"
-
-    located = "txn LEFT JOIN branch USING (branch_id)"
-    tables = {
-        "customer_segmentation_table": "SELECT * FROM members",
-        "fraud_flags_table": "SELECT * FROM flags",
-        "segment_count_table": groups("segment_name", "members"),
-        "customer_segmentation": groups("customer_type", "txn JOIN cust USING (customer_id)"),
-        "customer_aggregations_table": groups("customer_id"),
-        "currency_analysis": groups("currency"),
-        "branch_aggregations_table": groups("branch_id"),
-        "transaction_with_location_table": "SELECT * FROM txn",
-        "location_aggregations_table": groups("location", located),
-        "timezone_aggregations_table": groups("timezone", located),
-        "currency_aggregations_table": groups("currency"),
-        "channel_aggregations_table": groups("channel"),
-        "transaction_type_aggregations_table": groups("transaction_type"),
-        "year_month_aggregations_table": groups('"year", "month"'),
-        "date_aggregations_table": groups('substr("timestamp", 1, 10)'),
-        "status_aggregations_table": groups("status"),
-        "channel_type_aggregations_table": groups("channel, transaction_type"),
-        "customer_segments_table": groups("customer_id"),
-        "last_transaction_table": groups("customer_id"),
-        "churn_table": groups("customer_id"),
-        "peak_off_peak_table": groups(
-            """CAST(substr("timestamp", 12, 2) AS INTEGER) BETWEEN 8 AND 18"""
-        ),
-        "transaction_frequency_table": groups(
-            "CASE WHEN usd <= 5000 THEN 1 WHEN usd <= 10000 THEN 2 WHEN usd <= 50000 THEN 3 "
-            "WHEN usd <= 100000 THEN 4 WHEN usd <= 500000 THEN 5 WHEN usd <= 1000000 THEN 6 "
-            "ELSE 7 END"
-        ),
-        "median_table": groups("channel"),
-        "percentage_table": groups("channel"),
-        "rolling_avg_table": "SELECT * FROM txn",
-    }
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({rows})"
-        for name, rows in tables.items()
+        f"SELECT '{table}' AS table_name, {content_of(published(name), columns)}"
+        for table, (name, columns) in GOLD.items()
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspark.config import CatalogConfig, StreamConfig
 from ledgerspark.functions import enrich as E
@@ -83,16 +83,22 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
-def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exact columns of the running profile; its distinct counts are approximate."""
-    path = scratch_path(spark, "drops")
-    write_csv(bank.raw_transactions(spark, sf_dir), path)
-    summary = streaming_data_summary(read_stream(spark, path, TRANSACTIONS))
-    out = scratch_path(spark, "summary")
-    start_summary(
-        summary, out, scratch_path(spark, "checkpoint"), available_now=True
-    ).awaitTermination()
-    return latest_summary(summary, out).select(
+def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose schema has dates and timestamps."""
+    path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    write_csv(bank.raw_customers(spark, sf_dir), path)
+    name = f"{_new_database(spark)}.customers_raw"
+    arriving = read_stream(spark, path, CUSTOMERS)
+    write_stream(arriving, name, checkpoint, available_now=True).awaitTermination()
+    return read_table(spark, name)
+
+
+def _with_checked_counts(profile: DataFrame, rows: DataFrame, relative_error: float = 0.05) -> DataFrame:
+    """An approximate profile with, for its distinct counts, whether they are within four standard errors."""
+    exact = P.exact_unique(rows).withColumnRenamed("unique_count", "__exact")
+    truth = F.coalesce("__exact", F.lit(0))
+    close = F.abs(F.col("unique_count") - truth) <= 4 * relative_error * truth
+    return profile.join(exact, "column_name", "left").select(
         "column_name",
         "total_count",
         "non_null_count",
@@ -101,9 +107,42 @@ def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("stddev", 4).alias("stddev"),
         "min",
         "max",
+        close.alias("unique_within_bound"),
+    )
+
+
+def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact columns of the sketched profile, and its distinct counts held against exact ones."""
+    raw = bank.raw_transactions(spark, sf_dir)
+    return _with_checked_counts(P.data_summary(raw, approx=True), raw)
+
+
+def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each approximate median's rank is within the sketch's error of the middle."""
+    amounts = bank.silver(spark, sf_dir).transactions.select("channel", R.AMOUNT)
+    medians = R.median_approx(amounts)
+    placed = J.lookup_join(amounts, medians, ["channel"], "left", null_safe=True)
+    rows, slack = F.count(R.AMOUNT), F.count(R.AMOUNT) / 10_000 + 1
+    upto = F.count_if(F.col(R.AMOUNT) <= F.col("median_amount_usd"))
+    below = F.count_if(F.col(R.AMOUNT) < F.col("median_amount_usd"))
+    within = (upto >= rows / 2 - slack) & (below <= rows / 2 + slack)
+    return placed.groupBy("channel").agg(
+        rows.alias("transaction_count"), within.alias("median_within_bound")
     )
 
 
+def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact columns of the running profile, and its distinct counts held against exact ones."""
+    path = scratch_path(spark, "drops")
+    write_csv(bank.raw_transactions(spark, sf_dir), path)
+    summary = streaming_data_summary(read_stream(spark, path, TRANSACTIONS))
+    out = scratch_path(spark, "summary")
+    start_summary(
+        summary, out, scratch_path(spark, "checkpoint"), available_now=True
+    ).awaitTermination()
+    return _with_checked_counts(latest_summary(summary, out), read_csv(spark, path, TRANSACTIONS))
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arrive in two deliveries that overlap by a day; each is kept once."""
     path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
@@ -157,15 +196,38 @@ def catalog_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _as_text(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DoubleType):
+        value = F.floor(value * 10_000 + 0.5)
+    elif isinstance(field.dataType, T.TimestampType):
+        value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(value.cast("string"), F.lit("~"))
+
+
+def _content(df: DataFrame) -> Column:
+    """Aggregate: a sum over all rows of a hash of the row's values, columns by name; order does not count."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    row = F.md5(F.concat_ws("|", *[_as_text(f) for f in fields]))
+    return F.coalesce(F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("bigint")), F.lit(0))
+
+
 def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and content of every published table; of the approximate medians only the groups."""
     catalog = _new_catalog(spark)
-    counts = [
-        read_table(spark, name).agg(
-            F.lit(name.split(".")[1]).alias("table_name"), F.count("*").alias("row_count")
+    contents = []
+    for name in publish_gold(bank.silver(spark, sf_dir), bank.GOLD, catalog):
+        table = read_table(spark, name)
+        if name.endswith(".median_table"):
+            table = table.drop("median_amount_usd")
+        contents.append(
+            table.agg(
+                F.lit(name.split(".")[1]).alias("table_name"),
+                F.count("*").alias("row_count"),
+                _content(table).alias("content_hash"),
+            )
         )
-        for name in publish_gold(bank.silver(spark, sf_dir), bank.GOLD, catalog)
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, contents)
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +291,7 @@ def queries() -> dict[str, Query]:
         "catalog_bootstrap": catalog_bootstrap,
         "publish_gold": publish,
         "stream_ingest": stream_ingest,
+        "stream_customers": stream_customers,
         "stream_profile": stream_profile,
         "stream_silver": stream_silver,
         "dedup_any": _on_raw_transactions(
@@ -266,7 +329,7 @@ def queries() -> dict[str, Query]:
         ),
         "clean_transactions": clean,
         "profile_exact": _on_raw_transactions(lambda t: P.data_summary(t, digits=4)),
-        "profile_approx": _on_raw_transactions(lambda t: P.data_summary(t, approx=True)),
+        "profile_approx": profile_approx,
         "null_counts": _on_raw_transactions(P.null_counts),
         "format_dates": _on_raw_customers(
             lambda c: E.format_dates(
@@ -337,7 +400,7 @@ def queries() -> dict[str, Query]:
         "peak_offpeak": _on_transactions(R.peak_off_peak),
         "amount_histogram": histogram,
         "median_exact": _on_transactions(R.median_exact),
-        "median_approx": _on_transactions(R.median_approx),
+        "median_approx": median_approx,
         "percent_of_total": _on_transactions(R.percent_of_total),
         "recent_customers": _on_transactions(lambda t: S.recent_customers(t, bank.SEGMENTS)),
         "segment_high_value": _on_transactions(lambda t: S.high_value(t, bank.SEGMENTS)),

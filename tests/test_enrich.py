@@ -5,7 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import enrich as E
-from ledgerspark.functions.money import PART, count_excluded, divided_to_cents, exact_sum, exact_total
+from ledgerspark.functions.money import (
+    PART,
+    count_excluded,
+    divided_to_cents,
+    exact_sum,
+    exact_sum_unrounded,
+    exact_total,
+)
 from ledgerspark.operators.rollups import rollup
 from ledgerspark.schemas import RATES
 
@@ -84,3 +91,24 @@ def test_one_rounding_form_at_every_size(spark):
     for a, r, q in df.select("a", "r", divided_to_cents(F.col("a"), F.col("r")).alias("q")).collect():
         exact = (Decimal(repr(a)) / r).quantize(Decimal("0.01"), ROUND_HALF_UP)
         assert q == float(exact), (a, r)
+
+
+def test_unrounded_sums_keep_fractions_of_a_cent(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("a"))
+    assert df.agg(exact_sum_unrounded("a")).first()[0] == Decimal("4.000000")
+    rows = [(-0.25,), (1e15 + 0.5,), (float("nan"),), (None,), (1e17,)]
+    mixed = spark.createDataFrame(rows, "a double")
+    assert mixed.agg(exact_sum_unrounded("a")).first()[0] == Decimal("1000000000000000.25")
+    assert mixed.filter("a is null").agg(exact_sum_unrounded("a")).first()[0] is None
+
+
+def test_repeated_dimension_rows_do_not_repeat_facts(spark):
+    branches = spark.createDataFrame([("B1", " lima ")], "branch_id string, location string")
+    places = [("Lima", 1.0, 2.0), ("LIMA ", 1.0, 1.0)]
+    gazetteer = spark.createDataFrame(places, "location string, latitude double, longitude double")
+    assert [tuple(r)[2:] for r in E.add_coordinates(branches, gazetteer).collect()] == [(1.0, 1.0)]
+    rates = spark.createDataFrame(
+        [("EUR", Decimal("0.5")), ("EUR", Decimal("0.8"))], "currency string, rate decimal(10,4)"
+    )
+    facts = spark.createDataFrame([("EUR", 8.0)], "currency string, amount double")
+    assert [r.Amount_USD for r in E.convert_currency_to_usd(facts, rates).collect()] == [10.0]

@@ -191,6 +191,9 @@ def test_rollups_from_the_summary_equal_direct_ones(spark, sf_dir):
         "last_transaction_table": R.last_transactions(s.transactions),
         "churn_table": R.churn_status(s.transactions),
         "customer_segmentation": R.customer_type_totals(s.customers, s.transactions),
+        "segment_count_table": S.segment_counts(S.segment_members(s.customers, s.transactions)),
+        "peak_off_peak_table": R.peak_off_peak(s.transactions),
+        "percentage_table": R.percent_of_total(s.transactions),
     }
     for name, frame in direct.items():
         published = tables[name](s)

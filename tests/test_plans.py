@@ -1,6 +1,7 @@
 """What the plans must and must not contain."""
 
 import re
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,10 @@ import pytest
 import ledgerspark
 from ledgerspark.functions.enrich import convert_currency_to_usd
 from ledgerspark.operators import cleaning as C, rollups as R
+from ledgerspark.operators.profiling import data_summary
 from ledgerspark.plans import fraud
+from ledgerspark.plans.gold import gold_tables
+from ledgerspark.scratch import materialise
 from ledgerspark.workload import bank
 from ledgerspark.workload.queries import queries
 
@@ -72,3 +76,24 @@ def test_library_never_collects():
         source = file.read_text()
         for call in (".collect()", "toPandas", "localCheckpoint", "udf(", "crossJoin", "toLocalIterator"):
             assert call not in source, f"{call} in {file}"
+
+
+def scans(df):
+    df.count()
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    return final.count("FileScan parquet")
+
+
+def test_profiles_read_their_input_once(spark, sf_dir):
+    raw = bank.silver(spark, sf_dir).transactions
+    assert scans(data_summary(raw)) == 1
+    assert scans(data_summary(raw, approx=True)) == 1
+
+
+def test_published_memberships_read_no_transactions(spark, sf_dir):
+    s = bank.silver(spark, sf_dir)
+    summary = materialise(R.customer_partials(s.transactions), "customers")
+    members = gold_tables(bank.GOLD)["segment_count_table"](replace(s, customer_summary=summary))
+    text = plan(members)
+    assert "Amount_USD" not in text and "transaction_id" not in text

@@ -4,7 +4,7 @@ from uuid import uuid4
 import pytest
 
 from ledgerspark.config import StreamConfig
-from ledgerspark.schemas import RATES, TRANSACTIONS
+from ledgerspark.schemas import CUSTOMERS, RATES, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
 from ledgerspark.streaming.ingest import (
     read_stream,
@@ -82,6 +82,42 @@ def test_summary(spark, tmp_path):
     assert (got["amount"].non_null_count, got["amount"].null_count) == (2, 1)
     assert (got["amount"].mean, got["amount"].min, got["amount"].max) == (2.0, 1.0, 3.0)
     assert got["transaction_id"].unique_count == 3 and got["currency"].unique_count == 1
+    for i in range(4, 7):
+        drop(folder, f"{i}.csv", row(f"T{i}"))
+        summary = streaming_data_summary(read_stream(spark, str(folder), TRANSACTIONS))
+        start_summary(summary, out, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    assert latest_summary(summary, out).first().total_count == 6
+    assert latest_summary(summary, out).columns == summary.columns
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) == 2
+
+
+def test_timestamps_of_a_stream_are_kept(spark, tmp_path, database):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = "C1,a,e,p,x,700,2022-01-02,2023-03-04 05:06:07,VIP"
+    (folder / "a.csv").write_text(",".join(CUSTOMERS.names) + "\n" + line + "\n")
+    arriving = read_stream(spark, str(folder), CUSTOMERS)
+    write_stream(arriving, f"{database}.c", str(tmp_path / "cp"), available_now=True).awaitTermination()
+    got = spark.read.table(f"{database}.c").first()
+    assert (str(got.join_date), str(got.last_update)) == ("2022-01-02", "2023-03-04 05:06:07")
+
+
+def test_rows_behind_the_watermark_are_dropped(spark, tmp_path, database):
+    folder, table = tmp_path / "in", f"{database}.t"
+    rates = spark.createDataFrame([("EUR", Decimal("0.50"))], RATES)
+
+    def run():
+        raw = read_stream(spark, str(folder), TRANSACTIONS)
+        silver = silver_transactions_stream(raw, rates, config=StreamConfig(watermark="2 days"))
+        write_stream(silver, table, str(tmp_path / "cp"), available_now=True).awaitTermination()
+        return sorted(r.transaction_id for r in spark.read.table(table).collect())
+
+    drop(folder, "a.csv", row("t1"))
+    drop(folder, "b.csv", row("t2", moment="2023-01-10 00:00:00"))
+    assert run() == ["T1", "T2"]
+    # The state of t1 is gone by now; its copy and any other row as old are behind the watermark.
+    drop(folder, "c.csv", row("t1"), row("t3"), row("t4", moment="2023-01-09 00:00:00"))
+    assert run() == ["T1", "T2", "T4"]
 
 
 def test_silver_survives_restarts_and_overlaps(spark, tmp_path, database):
