@@ -24,6 +24,8 @@ class CatalogConfig:
     gold: str = "gold"
     main_table_prefix: str = ""
     location: str | None = None
+    # Columns to partition published transactions by, so that cutoffs on them skip files.
+    partition_transactions_by: tuple = ()
 
 
 @dataclass(frozen=True)

@@ -112,6 +112,8 @@ def publish_gold(
 ) -> list[str]:
     """Write every gold table and return their qualified names. A rerun replaces them.
 
+    Tables of single transactions are partitioned by ``catalog.partition_transactions_by``.
+
     The rollups come from a few small written summaries and the customers' tables from another, so
     the transactions are read once for each of those and not for each table.
     """
@@ -123,6 +125,7 @@ def publish_gold(
     published = []
     for name, build in gold_tables(rules, catalog).items():
         table = f"{catalog.gold}.{name}"
-        overwrite_table(build(silver), table)
+        frame, cut = build(silver), catalog.partition_transactions_by
+        overwrite_table(frame, table, cut if {"transaction_id", *cut} <= set(frame.columns) else ())
         published.append(table)
     return published

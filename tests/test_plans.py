@@ -3,16 +3,18 @@
 import re
 from dataclasses import replace
 from pathlib import Path
+from uuid import uuid4
 
 import pytest
 
 import ledgerspark
+from ledgerspark.config import CatalogConfig
 from ledgerspark.functions.enrich import convert_currency_to_usd
 from ledgerspark.operators import cleaning as C, rollups as R
 from ledgerspark.operators.profiling import data_summary
 from ledgerspark.plans import fraud
-from ledgerspark.plans.gold import gold_tables
-from ledgerspark.scratch import materialise
+from ledgerspark.plans.gold import gold_tables, publish_gold
+from ledgerspark.scratch import materialise, scratch_path
 from ledgerspark.workload import bank
 from ledgerspark.workload.queries import queries
 
@@ -97,3 +99,18 @@ def test_published_memberships_read_no_transactions(spark, sf_dir):
     members = gold_tables(bank.GOLD)["segment_count_table"](replace(s, customer_summary=summary))
     text = plan(members)
     assert "Amount_USD" not in text and "transaction_id" not in text
+
+
+def test_partitioned_transactions_are_pruned(spark, sf_dir):
+    name = f"cut_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'cut')}'")
+    s = bank.silver(spark, sf_dir)
+    catalog = CatalogConfig(gold=name, partition_transactions_by=("year", "month"))
+    published = publish_gold(s, bank.GOLD, catalog)
+    assert len(published) == 25
+    placed = spark.read.table(f"{name}.transaction_with_location_table")
+    assert placed.count() == s.transactions.count()
+    text = plan(placed.filter("year = 2001 and month > 6").select("transaction_id"))
+    assert re.search(r"PartitionFilters: \[[^]]*year[^]]*month", text) and "PushedFilters: []" in text
+    totals = spark.read.table(f"{name}.channel_aggregations_table")
+    assert sum(r.transaction_count for r in totals.collect()) == placed.count()
