@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Every n-gram of a lower-cased text, with white space folded, is hashed to a slot. Over all labelled texts Spark
-counts the texts of either class that hold a slot. The slots whose counts tell the classes apart
-most surely are kept, each scaled by its log-count ratio, and a logistic regression is fitted on a bounded
-sample. A text is scored by the kept slots it holds, whatever its length.
+counts the texts of either class that hold a slot. Every slot that two of them hold is scaled by its
+log-count ratio, and a logistic regression over all of these is fitted on a bounded sample of rows; its penalty, not a
+list of fixed length, leaves slots out. A text is scored by the slots with a weight that it holds, whatever its length.
 """
 
 from __future__ import annotations
@@ -82,24 +82,87 @@ def _class_counts(rows: DataFrame) -> pd.DataFrame:
 
 
 def fit_logistic(
-    held: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, decay: float, rounds: int
+    held: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, decay: float, choose: float, rounds: int,
+    weights: np.ndarray, bias: float,
 ) -> tuple[np.ndarray, float]:
-    """Weights of scaled binary features by Adam over all rows; returned with the scales multiplied in."""
+    """Weights of scaled binary features, from the given ones, by accelerated proximal steps over all rows.
+
+    The penalty is ``decay`` on half the squares and ``choose`` on the absolute values.
+    """
     rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
     columns = np.concatenate(held) if held else np.empty(0, dtype=np.int64)
-    values = scale[columns]
-    weights, bias = np.ones(len(scale)), 0.0
-    m, v = np.zeros(len(scale) + 1), np.zeros(len(scale) + 1)
-    share = np.where(labels == 1, TOXIC_SHARE / max(1, labels.sum()), (1 - TOXIC_SHARE) / max(1, (1 - labels).sum()))
-    for step in range(1, rounds + 1):
-        total = bias + np.bincount(rows, values * weights[columns], minlength=len(held))
-        error = (1 / (1 + np.exp(-np.clip(total, -50, 50))) - labels) * share
-        grown = np.bincount(columns, values * error[rows], minlength=len(scale)) + decay * weights
-        gradient = np.append(grown, error.sum())
-        m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
-        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-        weights, bias = weights - move[:-1], bias - move[-1]
-    return weights * scale, float(bias)
+    values, share = scale[columns], _shares(labels)
+
+    def totals(own: np.ndarray, shift: float) -> np.ndarray:
+        return shift + np.bincount(rows, values * own[columns], minlength=len(held))
+
+    def back(error: np.ndarray) -> tuple[np.ndarray, float]:
+        return np.bincount(columns, values * error[rows], minlength=len(scale)), float(error.sum())
+
+    steep, flat, most = np.ones(len(scale)), 1.0, 1.0
+    for _ in range(12):
+        steep, flat = back(totals(steep, flat) * share / 4)
+        most = float(np.sqrt(steep @ steep + flat * flat))
+        steep, flat = steep / most, flat / most
+    step = 1 / (1.1 * most + decay)
+    ahead, ahead_bias, pace = weights, bias, 1.0
+    for _ in range(rounds):
+        gradient, lift = back(_errors(totals(ahead, ahead_bias), labels) * share)
+        moved = ahead - step * (gradient + decay * ahead)
+        moved = np.sign(moved) * np.maximum(np.abs(moved) - step * choose, 0)
+        moved_bias = ahead_bias - step * lift
+        change, change_bias = moved - weights, moved_bias - bias
+        if (ahead - moved) @ change + (ahead_bias - moved_bias) * change_bias > 0:
+            pace = 1.0  # the momentum points uphill
+        following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        push = (pace - 1) / following
+        ahead, ahead_bias, pace = moved + push * change, moved_bias + push * change_bias, following
+        weights, bias = moved, moved_bias
+        if max(np.abs(change).max(initial=0), abs(change_bias)) < 1e-5:
+            break
+    return weights, float(bias)
+
+
+def _shares(labels: np.ndarray) -> np.ndarray:
+    """The part of the loss that each row has."""
+    return np.where(labels == 1, TOXIC_SHARE / max(1, labels.sum()), (1 - TOXIC_SHARE) / max(1, (1 - labels).sum()))
+
+
+def _errors(totals: np.ndarray, labels: np.ndarray | int) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(totals, -50, 50))) - labels
+
+
+def _pulled(sample: DataFrame, scale: np.ndarray, model: ToxicityModel, choose: float) -> np.ndarray:
+    """All slots whose gradient under ``model`` exceeds ``choose``; partial sums are whole numbers, so exact."""
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    unit = 1 << 50
+    share = [(1 - TOXIC_SHARE) / max(1, sizes.get(0, 0)), TOXIC_SHARE / max(1, sizes.get(1, 0))]
+    shared = sample.sparkSession.sparkContext.broadcast((scale, model))
+
+    def pull(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scale, own = shared.value
+        pulls = np.zeros(1 << BITS, dtype=np.int64)
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["label"], strict=True):
+                slots = held_slots(text)
+                held = own.kept[slots]
+                total = np.array([own.bias + own.weights[held[held >= 0]].sum()])
+                pulls[slots] += round(_errors(total, label)[0] * share[label] * unit)
+        slots = np.flatnonzero((pulls != 0) & (scale != 0))
+        yield pd.DataFrame({"slot": slots, "pull": pulls[slots], "scale": scale[slots]})
+
+    sums = sample.mapInPandas(pull, "slot int, pull bigint, scale double").groupBy("slot").agg(
+        F.sum("pull").alias("pull"), F.first("scale").alias("scale")
+    )
+    steep = sums.filter(F.abs(F.col("pull") / unit * F.col("scale")) > choose).select("slot").toPandas()
+    shared.unpersist()
+    return np.sort(steep["slot"].to_numpy().astype(np.int64))
+
+
+def _kept(slots: np.ndarray) -> np.ndarray:
+    kept = np.full(1 << BITS, -1, dtype=np.int32)
+    kept[slots] = np.arange(len(slots))
+    return kept
 
 
 def fit_toxicity(
@@ -107,49 +170,63 @@ def fit_toxicity(
     labels: DataFrame,
     label: str = "toxic",
     max_rows: int = 6_000,
-    max_slots: int = 2_048,
     smoothing: float = 0.5,
     decay: float = 2e-3,
-    rounds: int = 200,
+    choose: float = 0.01,
+    rounds: int = 300,
 ) -> ToxicityModel:
     """Learn from the labelled rows outside fold 0.
 
-    Class counts cover all of them; the weights are fitted on about ``max_rows`` rows of either class, of which no
-    more than ``max_slots`` slots each reach the driver. With no row of one class all scores are 0 or
-    1, with no rows 0.
+    Class counts cover all of them; the weights are fitted on about ``max_rows`` rows of either class. Every slot
+    that two labelled rows hold is open to the fit, however many there are: its absolute-value penalty, ``choose``
+    over the root of the toxic rows, leaves most weights at zero. The driver meets those that may not be zero:
+    after each fit executors take the gradient of all slots, and slots that it pulls away from zero join, until there
+    are none. With no row of one class all scores are 0 or 1, with no rows 0.
     """
     rows = materialise(labelled_rows(docs, known_labels(labels, label)), "toxicity-labelled")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    none = np.full(1 << BITS, -1, dtype=np.int16)
     if len(sizes) < 2:
-        return ToxicityModel(none, np.zeros(0), 50.0 if sizes.get(1) else -50.0)
-    counts = _class_counts(rows)
+        return ToxicityModel(_kept(np.empty(0, dtype=np.int64)), np.zeros(0), 50.0 if sizes.get(1) else -50.0)
     p = (F.col("toxic") + smoothing) / (sizes[1] + 2 * smoothing)
     q = (F.col("clean") + smoothing) / (sizes[0] + 2 * smoothing)
-    spread = F.sqrt(1 / (F.col("toxic") + smoothing) + 1 / (F.col("clean") + smoothing))
-    best = (
-        counts.withColumn("ratio", F.log(p / q))
-        .withColumn("sure", F.abs("ratio") / spread)
-        .filter(F.col("toxic") + F.col("clean") >= 2)
-        .orderBy(F.col("sure").desc(), "slot").limit(max_slots).toPandas().sort_values("slot")
+    ratios = (
+        _class_counts(rows).filter(F.col("toxic") + F.col("clean") >= 2)
+        .select("slot", F.log(p / q).alias("ratio")).toPandas()
     )
-    kept = none.copy()
-    kept[best["slot"].to_numpy()] = np.arange(len(best))
+    scale = np.zeros(1 << BITS)
+    scale[ratios["slot"].to_numpy()] = ratios["ratio"].to_numpy()
     sample = [
         bounded_sample(rows.filter(F.col("label") == c), "doc_id", max_rows, seed=9).select("text", "label")
         for c in (0, 1)
     ]
-
-    def hold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            held = [held_slots(t, kept).astype(np.int16).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"label": batch["label"], "held": held})
-
-    got = sample[0].unionAll(sample[1]).mapInPandas(hold, "label int, held binary").toPandas()
-    got = got.sort_values(["label", "held"])  # the order that rows arrive in doesn't count
-    held = [np.frombuffer(h, dtype=np.int16).astype(np.int64) for h in got["held"]]
-    weights, bias = fit_logistic(held, got["label"].to_numpy(), best["ratio"].to_numpy(), decay, rounds)
-    return ToxicityModel(kept, weights, bias)
+    sample = materialise(sample[0].unionAll(sample[1]), "toxicity-sample")
+    toxic = max(1, sample.filter("label = 1").count())
+
+    def held_rows(kept: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        def hold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                held = [held_slots(t, kept).astype(np.int32).tobytes() for t in batch["text"]]
+                yield pd.DataFrame({"label": batch["label"], "held": held})
+
+        got = sample.mapInPandas(hold, "label int, held binary").toPandas()
+        got = got.sort_values(["label", "held"])  # the order that rows arrive in doesn't count
+        return [np.frombuffer(h, dtype=np.int32).astype(np.int64) for h in got["held"]], got["label"].to_numpy()
+
+    weights, opened = np.zeros(1 << BITS), np.empty(0, dtype=np.int64)
+    bias = float(np.log(TOXIC_SHARE / (1 - TOXIC_SHARE)))
+    for firm in (10, 3, 1):  # from a firmer penalty down, so that few slots join in vain
+        bar = firm * choose / np.sqrt(toxic)
+        while True:
+            held = np.flatnonzero(weights)
+            model = ToxicityModel(_kept(held), weights[held] * scale[held], bias)
+            joining = np.setdiff1d(_pulled(sample, scale, model, 1.05 * bar), opened)
+            if not len(joining):
+                break
+            opened = np.union1d(opened, joining)
+            weights[opened], bias = fit_logistic(
+                *held_rows(_kept(opened)), scale[opened], decay, bar, rounds, weights[opened], bias
+            )
+    return model
 
 
 def score_toxicity(

@@ -71,6 +71,19 @@ def test_classifiers_without_rows_and_with_odd_rows(spark):
         assert keep(docs.limit(0), fit(docs.limit(0), labels)).count() == 0
 
 
+def test_a_rare_toxic_word_counts_beside_thousands_of_commoner_slots(spark):
+    rng = random.Random(6)
+    junk = ["".join(rng.choices("bcdfghjk", k=8)) for _ in range(300)]
+    plain = "we met at the old mill and talked about the harvest until it rained on the road home".split()
+    rows = [(i, " ".join(rng.choices(plain, k=12) + rng.sample(junk, 60 if i < 300 else 6))) for i in range(1200)]
+    rows += [(i, " ".join([*rng.choices(plain, k=12), "zorgulant"])) for i in range(1200, 1212)]
+    docs = spark.createDataFrame([(i, t, *[None] * 5) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(i, i < 300 or i >= 1200) for i, _ in rows], "doc_id long, toxic boolean")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert model.score("a zorgulant went home") >= 0.5 > model.score("the mill on the road")
+    assert min(model.score(t) for _, t in rows[:300]) >= 0.5 > max(model.score(t) for _, t in rows[300:1200])
+
+
 def test_prior_and_non_negative_risk_on_known_mixtures():
     rng = np.random.default_rng(0)
     positive = rng.normal(2, 1, (1500, quality.WIDTH))
