@@ -12,7 +12,9 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object audio video canvas".split())
+RAW = frozenset("script style".split())
+EMBEDDED = frozenset("noscript template iframe svg math object audio video canvas".split())  # may stand in a paragraph
+FOREIGN = frozenset("svg math".split())  # in these a tag may close itself
 CLOSES_SAME = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
 
 TOKEN = re.compile(
@@ -89,8 +91,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if not tag[3].endswith("/") or name in ("script", "style"):
-                at = end.end() if end else len(page)
+            at = end.end() if end else len(page)
             continue
         if name in INLINE:
             if name == "a":
@@ -101,8 +102,12 @@ def blocks(page: str) -> list[Block]:
             continue
         in_link = 0
         names = [n for n, _ in stack]
-        if "p" in names and name != "p" or name == "p" and "p" in names:
-            del stack[len(names) - 1 - names[::-1].index("p") :]
+        if tag[3].endswith("/") and FOREIGN & {name, *names}:
+            continue
+        if "p" in names:
+            last = len(names) - 1 - names[::-1].index("p")
+            if not EMBEDDED & {name, *names[last:]}:
+                del stack[last:]
         elif name in CLOSES_SAME and name in names:
             last = len(names) - 1 - names[::-1].index(name)
             if not set(names[last:]) & CLOSES_SAME[name]:

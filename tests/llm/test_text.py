@@ -106,6 +106,17 @@ def test_blocks_of_a_page():
     assert blocks("") == [] and [b.text for b in blocks("a<br>b<p>c <i>d</i>e</p><a hre")] == ["a b", "c de"]
 
 
+@pytest.mark.parametrize("name", "noscript template iframe svg math object audio video canvas".split())
+def test_only_scripts_and_styles_are_no_content(name):
+    closed = blocks(f"<article><p>One.</p><{name} class='x'><p>Inside.</p></{name}><p>Two.</p></article>")
+    assert [b.text for b in closed] == ["One.", "Inside.", "Two."]
+    assert name in closed[1].path and name not in closed[2].path
+    assert [b.text for b in blocks(f"<article><p>One.</p><{name}><p>Two.</p></article><p>Three.")] == ["One.", "Two.", "Three."]
+    assert [b.text for b in blocks(f"<p>a</p><{name}/><p>b</p>")] == ["a", "b"]
+    assert [(b.path, b.text) for b in blocks(f"<p>a <{name}><g>x</g></{name}> b</p>")] == [(("p",), "a"), (("p", name, "g"), "x"), (("p",), "b")]
+    assert [b.path for b in blocks("<p>a<svg/><p>b<svg><path d='M0'/><text>c</text></svg><p>d")] == [("p",), ("p",), ("p", "svg", "text"), ("p",)]
+
+
 def test_labeller_on_unseen_layouts_and_the_table(spark):
     model = html_text.fit_labeller(*html_text.written_examples(200), rounds=20)
     pages, labels = html_text.written_examples(100, seed=5)
