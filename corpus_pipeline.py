@@ -27,11 +27,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each copy that the mix takes; the one that is cut in a source has its first words."""
+    """A row for each copy that the mix takes, with its whole text."""
     ship_package(spark)
-    mixed = mixing.mixed_texts(docs).select(*docs.columns)
-    kind = docs.schema["n_chars"].dataType
-    return mixed.withColumn("n_chars", F.length("text").cast(kind))
+    return mixing.mixed_texts(docs).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,10 +15,8 @@ shard are tables.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -306,7 +304,8 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
 def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
     """The columns of ``docs`` once for each copy that the mix takes, with ``__shard`` and ``__order``.
 
-    A copy that is cut keeps its first words with the white space between them.
+    Texts are whole: the document at a source's cut is taken or left, whichever is nearer to the target. A source
+    is off its target by at most half the words of that document, and of the rows that repeat its id and text.
     """
     sized = materialise(measure(docs), "mix-sizes")
     mix = plan_mix(sized, **settings)
@@ -316,28 +315,9 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
         "row", "source", word_count(F.col("text")).alias("size"), _key(held, "doc_id", "text").alias("h")
     )
     copies = apply_mix(rows, mix).select("row", "size", "h", F.explode("copies").alias("copy"))
-    cut = F.col("copy.words") < F.col("size")
-    shortened = _first_words_udf()(F.when(cut, F.col("row.text")), F.col("copy.words"))
     order = F.xxhash64(F.lit(seed), "copy.pass", "copy.shard", "h")
-    return copies.select(
-        F.when(cut, F.col("row").withField("text", shortened)).otherwise(F.col("row")).alias("row"),
-        F.col("copy.shard").alias("__shard"),
-        order.alias("__order"),
-    ).select("row.*", "__shard", "__order")
-
-
-def _first_words_udf():
-    """The first words of the texts that are not null."""
-
-    def first(t: str, n: int) -> str:
-        *_, end = (m.end() for m in islice(re.finditer(WORD, t), int(n)))
-        return t[:end]
-
-    @F.pandas_udf("string")
-    def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([t and first(t, n) for t, n in zip(text, words, strict=True)], dtype=object)
-
-    return first_words
+    nearer = copies.filter(2 * F.col("copy.words") >= F.col("size"))
+    return nearer.select("row.*", F.col("copy.shard").alias("__shard"), order.alias("__order"))
 
 
 def write_mix(docs: DataFrame, path: str, **settings) -> None:

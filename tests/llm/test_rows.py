@@ -73,6 +73,22 @@ def test_mixed_texts_are_whole_but_one_for_each_source(odd):
     assert mixing.mix_documents(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block_words", [64, 8192])
+def test_mixed_texts_are_never_cut_and_near_the_target(spark, odd, block_words):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randint(50, 900)), None, f"s{i % 4}", None, 0, 0) for i in range(400, 440)]
+    docs = odd.unionAll(spark.createDataFrame(rows, DOCS))
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    goals = {r.source: r.target for r in mixing.mix_documents(docs, block_words=block_words).collect()}
+    longest, taken = Counter(), Counter()
+    for r in docs.collect():
+        longest[r.source] = max(longest[r.source], len(WORD.findall(r.text or "")))
+    for r in mixing.mixed_texts(docs, block_words=block_words).collect():
+        assert r.text == whole[r.doc_id]
+        taken[r.source] += len(WORD.findall(r.text or ""))
+    assert all(abs(taken[s] - goals[s]) <= longest[s] / 2 + 1 for s in goals)
+
+
 @pytest.mark.parametrize("parts", [5, 20_000])
 def test_shards_are_even_and_numbered(odd, parts):
     rows = sharding.shard_by_bytes(odd, 8, rows_per_part=parts).collect()
