@@ -270,6 +270,16 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, with their columns, that are the first of their component."""
-    gone = near_duplicates(docs, **settings).filter("not kept").select("doc_id").distinct()
-    return lookup_join(docs, materialise(gone, "dedup-gone"), ["doc_id"], "left_anti").select(*docs.columns)
+    """The rows of ``docs``, with their columns, that are the first of their component: one row of each.
+
+    Rows are told apart by a key that is written with them, so ids may be null, repeat or collide. The first row has the
+    least id, null last. Rows without words all stay.
+    """
+    keyed = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
+    found = near_duplicates(keyed, id_col="__row", **settings).select("__row", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
+    firsts = (
+        found.join(keyed.select("__row", "doc_id"), "__row")
+        .groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("__row"))
+    )
+    return lookup_join(keyed, materialise(firsts, "dedup-firsts"), ["__row"], "left_semi").select(*docs.columns)

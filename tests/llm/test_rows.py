@@ -223,6 +223,19 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["w%d" % i for i in range(400)], k=60)) for _ in range(5)]
+    near = [t + " more" for t in texts]
+    rows = [(1, texts[0]), (5, texts[1]), (5, near[0]), (None, texts[0]), (None, texts[2]), (None, texts[2]), (None, near[2])]
+    rows += [(7, texts[3])] * 3 + [(None, texts[4]), (9, near[4]), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, *[None] * 5) for i, t in rows], DOCS)
+    kept = [(r.doc_id, r.text) for r in dedup.keep_first(docs).collect()]
+    pair = [x for x in kept if x in ((None, texts[2]), (None, near[2]))]
+    wanted = Counter([(1, texts[0]), (5, texts[1]), (7, texts[3]), (9, near[4]), (None, ""), (None, None)])
+    assert len(pair) == 1 and Counter(kept) == wanted + Counter(pair)
+
+
 def test_components_of_a_chain(spark):
     chain = spark.range(1, 40).selectExpr("encode(lpad(id, 3, '0'), 'utf-8') AS a", "encode(lpad(id + 1, 3, '0'), 'utf-8') AS b")
     labels = dedup.components(chain, "chain")
