@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import ann, bpe, dedup, html_text, mixing, quality, sharding, topk, toxicity, url_filter
+from ledgerspark.llm import (
+    ann, bpe, dedup, html_text, mixing, negatives, quality, secret_scan, sharding, topk, toxicity, url_filter, whitening
+)
 from ledgerspark.llm.common import held_out, ship_package
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+# Fixed value: the pre-tokenizer that belongs to the file of ranks.
+RANKS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 URL_RULES = [
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -33,6 +40,15 @@ def vocabulary_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def ranks_path() -> str:
+    """The given vocabulary's file of ranks, which every executor has."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return RANKS
+    return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 3 : 1 : 2 mix of 150% of all words takes of every document."""
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
@@ -100,6 +116,19 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine_every_hundredth(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.span_digests(secret_scan.find_secrets(docs, ranks_path(), RANKS_PATTERN))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -112,6 +141,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_text": op8_main_text,
         "op9_toxicity": op9_toxicity,
         "op10_url_rules": op10_url_rules,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_whiten_embeddings": op12_whiten_embeddings,
+        "op13_secret_scan": op13_secret_scan,
     }
 
 
@@ -160,6 +192,32 @@ QUALIFY rank <= 10
 """
 
 
+NEGATIVES_SQL = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scores
+    WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op5_exact_top_k": TOP_K_SQL, "op10_url_rules": URLS_SQL}
+    return {"op5_exact_top_k": TOP_K_SQL, "op10_url_rules": URLS_SQL, "op11_hard_negatives": NEGATIVES_SQL}

@@ -28,7 +28,7 @@ def test_stages(spark):
         before = after
 
 
-@pytest.mark.parametrize("name", ["op5_exact_top_k", "op10_url_rules"])
+@pytest.mark.parametrize("name", ["op5_exact_top_k", "op10_url_rules", "op11_hard_negatives"])
 def test_queries_equal_their_sql(spark, name):
     import __spark_entry__ as contract
 
@@ -38,4 +38,4 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_every_operator_has_a_query():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
