@@ -2,25 +2,27 @@
 
 Every n-gram of a lower-cased text, with white space folded, is hashed to a slot. Over all labelled texts Spark
 counts the texts of either class that hold a slot. Every slot that two of them hold is scaled by its
-log-count ratio, and a logistic regression over all of these is fitted on a bounded sample of rows; its penalty, not a
-list of fixed length, leaves slots out. A text is scored by the slots with a weight that it holds, whatever its length.
+log-count ratio, and a logistic regression over all of these is fitted on a bounded sample of rows, whose gradients executors
+take; its penalty, not a list of fixed length, leaves slots out. A text is scored by the slots with a weight that it holds, whatever its length.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerspark.llm.common import bounded_sample, known_labels, labelled_rows
+from ledgerspark.llm.common import known_labels, labelled_rows, smallest_hashes
 from ledgerspark.scratch import materialise
 
 BITS = 20
 GRAMS = (4, 5, 6)
 TOXIC_SHARE = 0.25  # of the loss, whatever the share of toxic rows
+FIT_TASKS = 8  # that take the gradient over the sample; each sends one array
+UNIT = float(1 << 50)
 
 
 def gram_slots(text: str) -> np.ndarray:
@@ -67,13 +69,13 @@ def _class_counts(rows: DataFrame) -> pd.DataFrame:
     """``slot, toxic, clean``: texts of either class that hold the slot; at most 2**BITS rows."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, seen = np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(1 << BITS, dtype=bool)
+        held, last = np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                seen[gram_slots(text)] = True
-                slots = np.flatnonzero(seen)
-                held[label, slots] += 1
-                seen[slots] = False
+                slots = gram_slots(text)
+                places = np.arange(len(slots))
+                last[slots] = places
+                held[label, slots[last[slots] == places]] += 1  # each slot once, at its last place
         slots = np.flatnonzero(held.any(axis=0))
         yield pd.DataFrame({"slot": slots, "toxic": held[1, slots], "clean": held[0, slots]})
 
@@ -81,88 +83,124 @@ def _class_counts(rows: DataFrame) -> pd.DataFrame:
     return counts.groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+Pull = Callable[[np.ndarray, float], tuple[float, np.ndarray, float]]
+
+
 def fit_logistic(
-    held: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, decay: float, choose: float, rounds: int,
-    weights: np.ndarray, bias: float,
+    pull: Pull, size: int, bias: float, decay: float, choose: float, rounds: int, pairs: int = 6, close: float = 1e-4
 ) -> tuple[np.ndarray, float]:
-    """Weights of scaled binary features, from the given ones, by accelerated proximal steps over all rows.
+    """Weights and bias that minimise a convex loss with ``decay`` on half the squares and ``choose`` on the absolute values.
 
-    The penalty is ``decay`` on half the squares and ``choose`` on the absolute values.
+    Quasi-Newton steps that stay within an orthant, so that weights can be zero. ``pull`` gives loss, gradient and
+    the bias's gradient at a point. Ends after ``rounds`` steps, or when a step gains less than ``close`` of the loss.
     """
-    rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    columns = np.concatenate(held) if held else np.empty(0, dtype=np.int64)
-    values, share = scale[columns], _shares(labels)
-
-    def totals(own: np.ndarray, shift: float) -> np.ndarray:
-        return shift + np.bincount(rows, values * own[columns], minlength=len(held))
-
-    def back(error: np.ndarray) -> tuple[np.ndarray, float]:
-        return np.bincount(columns, values * error[rows], minlength=len(scale)), float(error.sum())
-
-    steep, flat, most = np.ones(len(scale)), 1.0, 1.0
-    for _ in range(12):
-        steep, flat = back(totals(steep, flat) * share / 4)
-        most = float(np.sqrt(steep @ steep + flat * flat))
-        steep, flat = steep / most, flat / most
-    step = 1 / (1.1 * most + decay)
-    ahead, ahead_bias, pace = weights, bias, 1.0
-    for _ in range(rounds):
-        gradient, lift = back(_errors(totals(ahead, ahead_bias), labels) * share)
-        moved = ahead - step * (gradient + decay * ahead)
-        moved = np.sign(moved) * np.maximum(np.abs(moved) - step * choose, 0)
-        moved_bias = ahead_bias - step * lift
-        change, change_bias = moved - weights, moved_bias - bias
-        if (ahead - moved) @ change + (ahead_bias - moved_bias) * change_bias > 0:
-            pace = 1.0  # the momentum points uphill
-        following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        push = (pace - 1) / following
-        ahead, ahead_bias, pace = moved + push * change, moved_bias + push * change_bias, following
-        weights, bias = moved, moved_bias
-        if max(np.abs(change).max(initial=0), abs(change_bias)) < 1e-5:
+    firm = np.append(np.full(size, choose), 0.0)
+
+    def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+        own, (loss, steep, lift) = x[:-1], pull(x[:-1], float(x[-1]))
+        loss += decay / 2 * float(own @ own) + choose * float(np.abs(own).sum())
+        return loss, np.append(steep + decay * own, lift)
+
+    def downhill(x: np.ndarray, steep: np.ndarray) -> np.ndarray:
+        """The gradient of the loss with its penalty, on the side that leads down where a weight is zero."""
+        up, down = steep + firm, steep - firm
+        edge = np.where(up < 0, up, np.where(down > 0, down, 0.0))
+        return np.where(x > 0, up, np.where(x < 0, down, edge))
+
+    x = np.append(np.zeros(size), bias)
+    loss, steep = at(x)
+    history: list[tuple[np.ndarray, np.ndarray]] = []
+    for done in range(1, rounds + 1):
+        slope = downhill(x, steep)
+        step = _curved(slope, history)
+        step[step * slope <= 0] = 0.0
+        sides = np.where(x != 0, np.sign(x), -np.sign(slope))
+        length = 1.0
+        while True:
+            to = x - length * step
+            to[:-1][to[:-1] * sides[:-1] <= 0] = 0.0
+            to_loss, to_steep = at(to)
+            if to_loss <= loss - 1e-4 * float(slope @ (x - to)) or length < 1e-6:
+                break
+            length /= 2
+        if to_loss >= loss:
             break
-    return weights, float(bias)
+        moved, bent = to - x, to_steep - steep
+        if float(moved @ bent) > 1e-14:
+            history = [*history[1 - pairs :], (moved, bent)]
+        gain, x, loss, steep = loss - to_loss, to, to_loss, to_steep
+        if done > pairs and gain < close * loss:
+            break
+    return x[:-1], float(x[-1])
+
+
+def _curved(slope: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The slope times the inverse of the curvature that ``history`` (moves and changes of slope) tells."""
+    step, shares = slope.copy(), []
+    for moved, bent in reversed(history):
+        shares.append(float(moved @ step) / float(moved @ bent))
+        step -= shares[-1] * bent
+    if history:
+        moved, bent = history[-1]
+        step *= float(moved @ bent) / float(bent @ bent)
+    else:
+        step /= max(1.0, float(np.sqrt(slope @ slope)))
+    for (moved, bent), share in zip(history, reversed(shares), strict=True):
+        step += moved * (share - float(bent @ step) / float(moved @ bent))
+    return step
+
+
+def _pulls(held: DataFrame, scale: np.ndarray, sizes: dict[int, int]) -> Pull:
+    """Loss and gradient over the written rows of ``held`` (``label, places`` of slots), summed on executors.
+
+    ``scale`` is the ratio at each place, ``sizes`` the rows of each label. Every task hands over one array of fixed size. Errors are whole numbers of a small unit, so the sums are exact
+    and do not depend on how rows are dealt.
+    """
+    context, size = held.sparkSession.sparkContext, len(scale)
+    share = np.array([(1 - TOXIC_SHARE) / max(1, sizes.get(0, 0)), TOXIC_SHARE / max(1, sizes.get(1, 0))])
 
+    def pull(weights: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
+        shared = context.broadcast((weights * scale, bias))
 
-def _shares(labels: np.ndarray) -> np.ndarray:
-    """The part of the loss that each row has."""
-    return np.where(labels == 1, TOXIC_SHARE / max(1, labels.sum()), (1 - TOXIC_SHARE) / max(1, (1 - labels).sum()))
+        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            scaled, shift = shared.value
+            pulls, lift, loss = np.zeros(size), 0, 0
+            for batch in batches:
+                labels = batch["label"].to_numpy()
+                lengths = batch["places"].str.len().to_numpy() // 4
+                places = np.frombuffer(b"".join(batch["places"]), dtype=np.int32)
+                rows = np.repeat(np.arange(len(labels)), lengths)
+                totals = shift + np.bincount(rows, scaled[places], minlength=len(labels))
+                own = share[labels]
+                errors = np.rint((1 / (1 + np.exp(-np.clip(totals, -50, 50))) - labels) * own * UNIT)
+                pulls += np.bincount(places, errors[rows], minlength=size)
+                lift += int(errors.sum())
+                loss += int(np.rint(np.logaddexp(0, np.where(labels == 1, -totals, totals)) * own * UNIT).sum())
+            yield pd.DataFrame({"pulls": [pulls.astype(np.int64).tobytes()], "lift": [lift], "loss": [loss]})
 
+        found = held.coalesce(_tasks(sizes)).mapInPandas(add, "pulls binary, lift bigint, loss bigint").toPandas()
+        shared.destroy()
+        steep = sum(np.frombuffer(p, dtype=np.int64) for p in found["pulls"])
+        return float(found["loss"].sum()) / UNIT, steep / UNIT * scale, float(found["lift"].sum()) / UNIT
 
-def _errors(totals: np.ndarray, labels: np.ndarray | int) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(totals, -50, 50))) - labels
+    return pull
 
 
-def _pulled(sample: DataFrame, scale: np.ndarray, model: ToxicityModel, choose: float) -> np.ndarray:
-    """All slots whose gradient under ``model`` exceeds ``choose``; partial sums are whole numbers, so exact."""
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    unit = 1 << 50
-    share = [(1 - TOXIC_SHARE) / max(1, sizes.get(0, 0)), TOXIC_SHARE / max(1, sizes.get(1, 0))]
-    shared = sample.sparkSession.sparkContext.broadcast((scale, model))
+def _tasks(sizes: dict[int, int]) -> int:
+    return max(1, min(FIT_TASKS, sum(sizes.values()) // 500))
 
-    def pull(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scale, own = shared.value
-        pulls = np.zeros(1 << BITS, dtype=np.int64)
-        for batch in batches:
-            for text, label in zip(batch["text"], batch["label"], strict=True):
-                slots = held_slots(text)
-                held = own.kept[slots]
-                total = np.array([own.bias + own.weights[held[held >= 0]].sum()])
-                pulls[slots] += round(_errors(total, label)[0] * share[label] * unit)
-        slots = np.flatnonzero((pulls != 0) & (scale != 0))
-        yield pd.DataFrame({"slot": slots, "pull": pulls[slots], "scale": scale[slots]})
-
-    sums = sample.mapInPandas(pull, "slot int, pull bigint, scale double").groupBy("slot").agg(
-        F.sum("pull").alias("pull"), F.first("scale").alias("scale")
-    )
-    steep = sums.filter(F.abs(F.col("pull") / unit * F.col("scale")) > choose).select("slot").toPandas()
-    shared.unpersist()
-    return np.sort(steep["slot"].to_numpy().astype(np.int64))
 
+def _held(sample: DataFrame, slots: np.ndarray, sizes: dict[int, int]) -> DataFrame:
+    """Written ``label, places`` of the sampled texts: each is hashed once; places are those of its slots in ``slots``."""
+    shared = sample.sparkSession.sparkContext.broadcast(_kept(slots))
 
-def _kept(slots: np.ndarray) -> np.ndarray:
-    kept = np.full(1 << BITS, -1, dtype=np.int32)
-    kept[slots] = np.arange(len(slots))
-    return kept
+    def hold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [held_slots(t, shared.value).astype(np.int32).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"label": batch["label"], "places": held})
+
+    dealt = sample.select("text", "label").repartition(_tasks(sizes))
+    return materialise(dealt.mapInPandas(hold, "label int, places binary"), "toxicity-slots")
 
 
 def fit_toxicity(
@@ -173,17 +211,18 @@ def fit_toxicity(
     smoothing: float = 0.5,
     decay: float = 2e-3,
     choose: float = 0.01,
-    rounds: int = 300,
+    rounds: int = 60,
 ) -> ToxicityModel:
     """Learn from the labelled rows outside fold 0.
 
-    Class counts cover all of them; the weights are fitted on about ``max_rows`` rows of either class. Every slot
+    Class counts cover all of them; the weights are fitted on ``max_rows`` rows of either class at most. Every slot
     that two labelled rows hold is open to the fit, however many there are: its absolute-value penalty, ``choose``
-    over the root of the toxic rows, leaves most weights at zero. The driver meets those that may not be zero:
-    after each fit executors take the gradient of all slots, and slots that it pulls away from zero join, until there
-    are none. With no row of one class all scores are 0 or 1, with no rows 0.
+    over the root of the toxic rows, leaves most weights at zero. Sampled texts are hashed once and stay on the executors, which
+    take the gradient; the driver holds arrays of one number for a slot, whatever the rows or their lengths. With no row
+    of one class all scores are 0 or 1, with no rows 0. Equal rows count each; rows with a null id have no label.
     """
-    rows = materialise(labelled_rows(docs, known_labels(labels, label)), "toxicity-labelled")
+    rows = labelled_rows(docs, known_labels(labels, label)).withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows, "toxicity-labelled")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return ToxicityModel(_kept(np.empty(0, dtype=np.int64)), np.zeros(0), 50.0 if sizes.get(1) else -50.0)
@@ -191,42 +230,22 @@ def fit_toxicity(
     q = (F.col("clean") + smoothing) / (sizes[0] + 2 * smoothing)
     ratios = (
         _class_counts(rows).filter(F.col("toxic") + F.col("clean") >= 2)
-        .select("slot", F.log(p / q).alias("ratio")).toPandas()
+        .select("slot", F.log(p / q).alias("ratio")).filter("ratio != 0").toPandas().sort_values("slot")
     )
-    scale = np.zeros(1 << BITS)
-    scale[ratios["slot"].to_numpy()] = ratios["ratio"].to_numpy()
-    sample = [
-        bounded_sample(rows.filter(F.col("label") == c), "doc_id", max_rows, seed=9).select("text", "label")
-        for c in (0, 1)
-    ]
-    sample = materialise(sample[0].unionAll(sample[1]), "toxicity-sample")
-    toxic = max(1, sample.filter("label = 1").count())
-
-    def held_rows(kept: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        def hold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                held = [held_slots(t, kept).astype(np.int32).tobytes() for t in batch["text"]]
-                yield pd.DataFrame({"label": batch["label"], "held": held})
+    slots, scale = ratios["slot"].to_numpy().astype(np.int64), ratios["ratio"].to_numpy()
+    sample = [smallest_hashes(rows.filter(F.col("label") == c), ["doc_id", "text"], "row", max_rows, seed=9) for c in (0, 1)]
+    taken = {c: min(max_rows, n) for c, n in sizes.items()}
+    held = _held(sample[0].unionAll(sample[1]), slots, taken)
+    start = float(np.log(TOXIC_SHARE / (1 - TOXIC_SHARE)))
+    weights, bias = fit_logistic(_pulls(held, scale, taken), len(slots), start, decay, choose / np.sqrt(taken[1]), rounds)
+    chosen = np.flatnonzero(weights)
+    return ToxicityModel(_kept(slots[chosen]), weights[chosen] * scale[chosen], bias)
 
-        got = sample.mapInPandas(hold, "label int, held binary").toPandas()
-        got = got.sort_values(["label", "held"])  # the order that rows arrive in doesn't count
-        return [np.frombuffer(h, dtype=np.int32).astype(np.int64) for h in got["held"]], got["label"].to_numpy()
 
-    weights, opened = np.zeros(1 << BITS), np.empty(0, dtype=np.int64)
-    bias = float(np.log(TOXIC_SHARE / (1 - TOXIC_SHARE)))
-    for firm in (10, 3, 1):  # from a firmer penalty down, so that few slots join in vain
-        bar = firm * choose / np.sqrt(toxic)
-        while True:
-            held = np.flatnonzero(weights)
-            model = ToxicityModel(_kept(held), weights[held] * scale[held], bias)
-            joining = np.setdiff1d(_pulled(sample, scale, model, 1.05 * bar), opened)
-            if not len(joining):
-                break
-            opened = np.union1d(opened, joining)
-            weights[opened], bias = fit_logistic(
-                *held_rows(_kept(opened)), scale[opened], decay, bar, rounds, weights[opened], bias
-            )
-    return model
+def _kept(slots: np.ndarray) -> np.ndarray:
+    kept = np.full(1 << BITS, -1, dtype=np.int32)
+    kept[slots] = np.arange(len(slots))
+    return kept
 
 
 def score_toxicity(
@@ -249,7 +268,11 @@ def score_toxicity(
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose text scores below ``threshold``."""
+    """The rows of ``docs``, with their columns, whose text scores below ``threshold``.
+
+    Null text counts as empty, texts are read whole, repeated rows stay or go together, an empty table gives no rows; no
+    column is added, so none can clash.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
