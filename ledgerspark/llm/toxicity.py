@@ -87,7 +87,7 @@ Pull = Callable[[np.ndarray, float], tuple[float, np.ndarray, float]]
 
 
 def fit_logistic(
-    pull: Pull, size: int, bias: float, decay: float, choose: float, rounds: int, pairs: int = 6, close: float = 1e-4
+    pull: Pull, size: int, bias: float, decay: float, choose: float, rounds: int, pairs: int = 5, close: float = 1e-4
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise a convex loss with ``decay`` on half the squares and ``choose`` on the absolute values.
 
@@ -127,7 +127,7 @@ def fit_logistic(
             break
         moved, bent = to - x, to_steep - steep
         if float(moved @ bent) > 1e-14:
-            history = [*history[1 - pairs :], (moved, bent)]
+            history = [*history[1 - pairs :], (moved.astype(np.float32), bent.astype(np.float32))]
         gain, x, loss, steep = loss - to_loss, to, to_loss, to_steep
         if done > pairs and gain < close * loss:
             break
@@ -135,7 +135,7 @@ def fit_logistic(
 
 
 def _curved(slope: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The slope times the inverse of the curvature that ``history`` (moves and changes of slope) tells."""
+    """The slope times the inverse of the curvature that ``history`` (moves and changes of slope, in half the space) tells."""
     step, shares = slope.copy(), []
     for moved, bent in reversed(history):
         shares.append(float(moved @ step) / float(moved @ bent))
@@ -178,10 +178,13 @@ def _pulls(held: DataFrame, scale: np.ndarray, sizes: dict[int, int]) -> Pull:
                 loss += int(np.rint(np.logaddexp(0, np.where(labels == 1, -totals, totals)) * own * UNIT).sum())
             yield pd.DataFrame({"pulls": [pulls.astype(np.int64).tobytes()], "lift": [lift], "loss": [loss]})
 
-        found = held.coalesce(_tasks(sizes)).mapInPandas(add, "pulls binary, lift bigint, loss bigint").toPandas()
+        found = held.coalesce(_tasks(sizes)).mapInPandas(add, "pulls binary, lift bigint, loss bigint").toArrow()
         shared.destroy()
-        steep = sum(np.frombuffer(p, dtype=np.int64) for p in found["pulls"])
-        return float(found["loss"].sum()) / UNIT, steep / UNIT * scale, float(found["lift"].sum()) / UNIT
+        steep = np.zeros(size, dtype=np.int64)
+        for pulls in found["pulls"]:
+            steep += np.frombuffer(pulls.as_buffer(), dtype=np.int64)
+        lift, loss = (sum(found[c].to_pylist()) / UNIT for c in ("lift", "loss"))
+        return loss, steep / UNIT * scale, lift
 
     return pull
 
@@ -230,9 +233,12 @@ def fit_toxicity(
     q = (F.col("clean") + smoothing) / (sizes[0] + 2 * smoothing)
     ratios = (
         _class_counts(rows).filter(F.col("toxic") + F.col("clean") >= 2)
-        .select("slot", F.log(p / q).alias("ratio")).filter("ratio != 0").toPandas().sort_values("slot")
+        .select("slot", F.log(p / q).alias("ratio")).filter("ratio != 0").toArrow()
     )
     slots, scale = ratios["slot"].to_numpy().astype(np.int64), ratios["ratio"].to_numpy()
+    order = np.argsort(slots)
+    slots, scale = slots[order], scale[order]
+    del ratios, order
     sample = [smallest_hashes(rows.filter(F.col("label") == c), ["doc_id", "text"], "row", max_rows, seed=9) for c in (0, 1)]
     taken = {c: min(max_rows, n) for c, n in sizes.items()}
     held = _held(sample[0].unionAll(sample[1]), slots, taken)
