@@ -21,7 +21,10 @@ from ledgerspark.scratch import materialise
 BITS = 20
 GRAMS = (4, 5, 6)
 TOXIC_SHARE = 0.25  # of the loss, whatever the share of toxic rows
-FIT_TASKS = 8  # that take the gradient over the sample; each sends one array
+FIT_TASKS = 8  # that take the gradient over the sample; each sends one array, in pieces
+PIECE = 1 << 15
+FIRMNESS = (10, 3, 1)
+CLOSE = 1e-4
 UNIT = float(1 << 50)
 
 
@@ -87,14 +90,14 @@ Pull = Callable[[np.ndarray, float], tuple[float, np.ndarray, float]]
 
 
 def fit_logistic(
-    pull: Pull, size: int, bias: float, decay: float, choose: float, rounds: int, pairs: int = 5, close: float = 1e-4
+    pull: Pull, weights: np.ndarray, bias: float, decay: float, choose: float, rounds: int, pairs: int = 5, close: float = CLOSE
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise a convex loss with ``decay`` on half the squares and ``choose`` on the absolute values.
 
-    Quasi-Newton steps that stay within an orthant, so that weights can be zero. ``pull`` gives loss, gradient and
+    Starts from the given ones. Quasi-Newton steps that stay within an orthant, so that weights can be zero. ``pull`` gives loss, gradient and
     the bias's gradient at a point. Ends after ``rounds`` steps, or when a step gains less than ``close`` of the loss.
     """
-    firm = np.append(np.full(size, choose), 0.0)
+    firm = np.append(np.full(len(weights), choose), 0.0)
 
     def at(x: np.ndarray) -> tuple[float, np.ndarray]:
         own, (loss, steep, lift) = x[:-1], pull(x[:-1], float(x[-1]))
@@ -107,7 +110,7 @@ def fit_logistic(
         edge = np.where(up < 0, up, np.where(down > 0, down, 0.0))
         return np.where(x > 0, up, np.where(x < 0, down, edge))
 
-    x = np.append(np.zeros(size), bias)
+    x = np.append(weights, bias)
     loss, steep = at(x)
     history: list[tuple[np.ndarray, np.ndarray]] = []
     for done in range(1, rounds + 1):
@@ -153,8 +156,8 @@ def _curved(slope: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) ->
 def _pulls(held: DataFrame, scale: np.ndarray, sizes: dict[int, int]) -> Pull:
     """Loss and gradient over the written rows of ``held`` (``label, places`` of slots), summed on executors.
 
-    ``scale`` is the ratio at each place, ``sizes`` the rows of each label. Every task hands over one array of fixed size. Errors are whole numbers of a small unit, so the sums are exact
-    and do not depend on how rows are dealt.
+    ``scale`` is the ratio at each place, ``sizes`` the rows of each label. Every task hands over one number for a place, in
+    pieces. Errors are whole numbers of a small unit, so the sums are exact and do not depend on how rows are dealt.
     """
     context, size = held.sparkSession.sparkContext, len(scale)
     share = np.array([(1 - TOXIC_SHARE) / max(1, sizes.get(0, 0)), TOXIC_SHARE / max(1, sizes.get(1, 0))])
@@ -176,19 +179,62 @@ def _pulls(held: DataFrame, scale: np.ndarray, sizes: dict[int, int]) -> Pull:
                 pulls += np.bincount(places, errors[rows], minlength=size)
                 lift += int(errors.sum())
                 loss += int(np.rint(np.logaddexp(0, np.where(labels == 1, -totals, totals)) * own * UNIT).sum())
-            yield pd.DataFrame({"pulls": [pulls.astype(np.int64).tobytes()], "lift": [lift], "loss": [loss]})
+            for at in range(0, max(1, size), PIECE):
+                piece = pulls[at : at + PIECE].astype(np.int64).tobytes()
+                yield pd.DataFrame({"at": [at], "pulls": [piece], "lift": [lift], "loss": [loss]})
+                lift = loss = 0
 
-        found = held.coalesce(_tasks(sizes)).mapInPandas(add, "pulls binary, lift bigint, loss bigint").toArrow()
+        kinds = "at int, pulls binary, lift bigint, loss bigint"
+        found = held.coalesce(_tasks(sizes)).mapInPandas(add, kinds).toArrow()
         shared.destroy()
         steep = np.zeros(size, dtype=np.int64)
-        for pulls in found["pulls"]:
-            steep += np.frombuffer(pulls.as_buffer(), dtype=np.int64)
+        for at, piece in zip(found["at"].to_pylist(), found["pulls"], strict=True):
+            steep[at : at + PIECE] += np.frombuffer(piece.as_buffer(), dtype=np.int64)
         lift, loss = (sum(found[c].to_pylist()) / UNIT for c in ("lift", "loss"))
         return loss, steep / UNIT * scale, lift
 
     return pull
 
 
+def _narrowed(held: DataFrame, opened: np.ndarray, size: int) -> DataFrame:
+    """``held`` with the places among ``opened`` only."""
+    kept = np.full(size, -1, dtype=np.int32)
+    kept[opened] = np.arange(len(opened))
+    shared = held.sparkSession.sparkContext.broadcast(kept)
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shared.value[np.frombuffer(p, dtype=np.int32)] for p in batch["places"]]
+            yield pd.DataFrame({"label": batch["label"], "places": [f[f >= 0].tobytes() for f in found]})
+
+    return materialise(held.mapInPandas(narrow, "label int, places binary"), "toxicity-narrowed")
+
+
+def _fitted(
+    held: DataFrame, scale: np.ndarray, sizes: dict[int, int], decay: float, choose: float, rounds: int
+) -> tuple[np.ndarray, float]:
+    """Weights of all places and the bias.
+
+    Every place may have a weight; those that the gradient does not pull away from zero need not be looked at. So the
+    fit opens the places that are pulled, steps over these, and takes the gradient of all again, until no more are
+    pulled; from a firmer penalty down, so that few open in vain.
+    """
+    weights, opened = np.zeros(len(scale)), np.empty(0, dtype=np.int64)
+    bias, whole = float(np.log(TOXIC_SHARE / (1 - TOXIC_SHARE))), _pulls(held, scale, sizes)
+    for firm in FIRMNESS:
+        bar = firm * choose
+        while True:
+            pulled = np.flatnonzero(np.abs(whole(weights, bias)[1]) > 1.05 * bar)
+            joining = np.setdiff1d(pulled, opened)
+            if not len(joining):
+                break
+            opened = np.union1d(opened, joining)
+            some = _pulls(_narrowed(held, opened, len(scale)), scale[opened], sizes)
+            close = CLOSE if firm == FIRMNESS[-1] else 10 * CLOSE
+            weights[opened], bias = fit_logistic(some, weights[opened], bias, decay, bar, rounds, close=close)
+    return weights, bias
+
+
 def _tasks(sizes: dict[int, int]) -> int:
     return max(1, min(FIT_TASKS, sum(sizes.values()) // 500))
 
@@ -242,8 +288,7 @@ def fit_toxicity(
     sample = [smallest_hashes(rows.filter(F.col("label") == c), ["doc_id", "text"], "row", max_rows, seed=9) for c in (0, 1)]
     taken = {c: min(max_rows, n) for c, n in sizes.items()}
     held = _held(sample[0].unionAll(sample[1]), slots, taken)
-    start = float(np.log(TOXIC_SHARE / (1 - TOXIC_SHARE)))
-    weights, bias = fit_logistic(_pulls(held, scale, taken), len(slots), start, decay, choose / np.sqrt(taken[1]), rounds)
+    weights, bias = _fitted(held, scale, taken, decay, choose / np.sqrt(taken[1]), rounds)
     chosen = np.flatnonzero(weights)
     return ToxicityModel(_kept(slots[chosen]), weights[chosen] * scale[chosen], bias)
 

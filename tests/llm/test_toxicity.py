@@ -34,7 +34,7 @@ def test_steps_reach_the_least_loss():
     def loss(w, b):
         return pull(w, b)[0] + 1e-3 * w @ w + 0.02 * np.abs(w).sum()
 
-    w, b = toxicity.fit_logistic(pull, 50, 0.0, 2e-3, 0.02, 200, close=1e-9)
+    w, b = toxicity.fit_logistic(pull, np.zeros(50), 0.0, 2e-3, 0.02, 200, close=1e-9)
     slow, shift = np.zeros(50), 0.0
     for _ in range(20_000):
         _, g, lift = pull(slow, shift)
@@ -64,6 +64,21 @@ def test_sums_of_executors_equal_plain_ones(spark):
     assert np.abs(found[0][1] - steep).max() < 1e-9
 
 
+def test_opening_places_step_by_step_ends_where_all_are_open(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 2)), rng.permutation(3000)[:200].astype(np.int32)) for _ in range(300)]
+    rows = [(y, np.unique(np.append(p, [7, 8] if y and rng.random() < 0.9 else [9])).astype(np.int32)) for y, p in rows]
+    held = materialise(spark.createDataFrame([(y, bytearray(p.tobytes())) for y, p in rows], "label int, places binary"), "test-held")
+    sizes = {1: sum(y for y, _ in rows), 0: sum(1 - y for y, _ in rows)}
+    scale = rng.normal(0, 1, 3000)
+    weights, bias = toxicity._fitted(held, scale, sizes, 2e-3, 1e-3, 100)
+    loss, steep, lift = toxicity._pulls(held, scale, sizes)(weights, bias)
+    assert np.abs(steep).max() <= 1.06e-3 + 2e-3 * np.abs(weights).max() and abs(lift) < 2e-3
+    moved = np.flatnonzero(weights)
+    uphill = steep[moved] + 2e-3 * weights[moved] + 1e-3 * np.sign(weights[moved])
+    assert {7, 8, 9} & set(moved.tolist()) and np.abs(uphill).max() < 5e-4
+
+
 def test_query_finds_toxic_rows_and_spares_clean_ones(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
