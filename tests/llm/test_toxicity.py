@@ -64,7 +64,8 @@ def test_sums_of_executors_equal_plain_ones(spark):
     assert np.abs(found[0][1] - steep).max() < 1e-9
 
 
-def test_opening_places_step_by_step_ends_where_all_are_open(spark):
+def test_opening_places_step_by_step_ends_where_all_are_open(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CLOSE", 1e-9)
     rng = np.random.default_rng(5)
     rows = [(int(rng.integers(0, 2)), rng.permutation(3000)[:200].astype(np.int32)) for _ in range(300)]
     rows = [(y, np.unique(np.append(p, [7, 8] if y and rng.random() < 0.9 else [9])).astype(np.int32)) for y, p in rows]
@@ -73,7 +74,7 @@ def test_opening_places_step_by_step_ends_where_all_are_open(spark):
     scale = rng.normal(0, 1, 3000)
     weights, bias = toxicity._fitted(held, scale, sizes, 2e-3, 1e-3, 100)
     loss, steep, lift = toxicity._pulls(held, scale, sizes)(weights, bias)
-    assert np.abs(steep).max() <= 1.06e-3 + 2e-3 * np.abs(weights).max() and abs(lift) < 2e-3
+    assert np.abs(steep).max() <= 1.06e-3 + 2e-3 * np.abs(weights).max() and abs(lift) < 1e-3
     moved = np.flatnonzero(weights)
     uphill = steep[moved] + 2e-3 * weights[moved] + 1e-3 * np.sign(weights[moved])
     assert {7, 8, 9} & set(moved.tolist()) and np.abs(uphill).max() < 5e-4
