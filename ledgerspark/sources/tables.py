@@ -25,6 +25,24 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ())
     writer.saveAsTable(name)
 
 
+PARTITION_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows for, and no other; the first write makes the table."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        overwrite_table(df, name, partition_by)
+        return
+    before = spark.conf.get(PARTITION_MODE)
+    spark.conf.set(PARTITION_MODE, "dynamic")
+    try:
+        ordered = df.select(*spark.read.table(name).columns)
+        ordered.hint("rebalance", *partition_by).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(PARTITION_MODE, before)
+
+
 def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -583,15 +583,25 @@ def content_of(query: str, columns: str) -> str:
     return f"count(*) AS row_count, CAST(coalesce(sum({number}), 0) AS BIGINT) AS content_hash FROM ({query})"
 
 
-def publish_gold() -> str:
+def publish_gold(without: tuple[str, ...] = ()) -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, {content_of(published(name), columns)}"
         for table, (name, columns) in GOLD.items()
+        if table not in without
     )
 
 
 QUERIES["catalog_bootstrap"] = catalog_bootstrap()
 QUERIES["publish_gold"] = publish_gold()
+QUERIES["incremental_gold"] = publish_gold(
+    without=("fraud_flags_table", "transaction_with_location_table", "rolling_avg_table")
+)
+QUERIES["sketched_medians"] = QUERIES["median_approx"]
+QUERIES["sketched_uniques"] = " UNION ALL ".join(
+    f"SELECT '{column}' AS column_name, count(*) AS total_count, count(\"{column}\") AS non_null_count, "
+    "TRUE AS unique_within_bound FROM silver_transactions"
+    for column in "transaction_id customer_id branch_id channel transaction_type currency status Amount_USD".split()
+)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,6 +14,7 @@ from ledgerspark.operators import audits, cleaning as C, joins as J, profiling a
 from ledgerspark.operators import windows as W
 from ledgerspark.plans import fraud, segments as S
 from ledgerspark.plans.gold import publish_gold
+from ledgerspark.plans.incremental import GoldStore
 from ledgerspark.schemas import CUSTOMERS, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
 from ledgerspark.sources.files import read_csv, write_csv
@@ -120,9 +121,13 @@ def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each approximate median's rank is within the sketch's error of the middle."""
     amounts = bank.silver(spark, sf_dir).transactions.select("channel", R.AMOUNT)
-    medians = R.median_approx(amounts)
+    return _placed_medians(amounts, R.median_approx(amounts), 10_000)
+
+
+def _placed_medians(amounts: DataFrame, medians: DataFrame, parts: int) -> DataFrame:
+    """Whether each median's rank is within one of so many parts of the rows from the middle."""
     placed = J.lookup_join(amounts, medians, ["channel"], "left", null_safe=True)
-    rows, slack = F.count(R.AMOUNT), F.count(R.AMOUNT) / 10_000 + 1
+    rows, slack = F.count(R.AMOUNT), F.count(R.AMOUNT) / parts + 1
     upto = F.count_if(F.col(R.AMOUNT) <= F.col("median_amount_usd"))
     below = F.count_if(F.col(R.AMOUNT) < F.col("median_amount_usd"))
     within = (upto >= rows / 2 - slack) & (below <= rows / 2 + slack)
@@ -230,6 +235,58 @@ def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, contents)
 
 
+def _deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Most rows up to a day, then the rest: later ones, and late ones of all months before."""
+    transactions = bank.silver(spark, sf_dir).transactions
+    late = F.coalesce((F.col("timestamp") >= "1998-01-01") | F.col("transaction_id").endswith("7"), F.lit(True))
+    return [transactions.filter(~late), transactions.filter(late)]
+
+
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and content of the tables published from two deliveries; of the approximate medians only the groups."""
+    silver, store = bank.silver(spark, sf_dir), GoldStore(spark, _new_catalog(spark), bank.GOLD)
+    written: list[str] = []
+    for number, rows in enumerate(_deliveries(spark, sf_dir)):
+        written = store.publish(silver.customers, silver.branches, store.add(f"delivery-{number}", rows))
+    contents = []
+    for name in written:
+        table = read_table(spark, name).drop("period")
+        if name.endswith(".median_table"):
+            table = table.drop("median_amount_usd")
+        contents.append(
+            table.agg(
+                F.lit(name.split(".")[1]).alias("table_name"),
+                F.count("*").alias("row_count"),
+                _content(table).alias("content_hash"),
+            )
+        )
+    return reduce(DataFrame.unionByName, contents)
+
+
+def _sketched(spark: SparkSession, sf_dir: str, family: str) -> GoldStore:
+    store = GoldStore(spark, _new_catalog(spark), bank.GOLD, kept=(family,))
+    for number, rows in enumerate(_deliveries(spark, sf_dir)):
+        store.add(f"delivery-{number}", rows)
+    return store
+
+
+def sketched_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the rank of each median from stored sketches is within a hundredth of the middle."""
+    amounts = bank.silver(spark, sf_dir).transactions.select("channel", R.AMOUNT)
+    return _placed_medians(amounts, _sketched(spark, sf_dir, "medians").medians(), 100)
+
+
+def sketched_uniques(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from stored sketches, its distinct counts held against exact ones."""
+    store = _sketched(spark, sf_dir, "uniques")
+    rows = bank.silver(spark, sf_dir).transactions.select(*store.profiled)
+    exact = P.exact_unique(rows).withColumnRenamed("unique_count", "__exact")
+    close = F.abs(F.col("unique_count") - F.col("__exact")) <= 0.064 * F.col("__exact")
+    return store.profile().join(exact, "column_name").select(
+        "column_name", "total_count", "non_null_count", close.alias("unique_within_bound")
+    )
+
+
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions fill the upper buckets, events the lower ones."""
     amounts = bank.silver(spark, sf_dir).transactions.select(R.AMOUNT)
@@ -290,6 +347,9 @@ def queries() -> dict[str, Query]:
         "sink_csv": sink_csv,
         "catalog_bootstrap": catalog_bootstrap,
         "publish_gold": publish,
+        "incremental_gold": incremental_gold,
+        "sketched_medians": sketched_medians,
+        "sketched_uniques": sketched_uniques,
         "stream_ingest": stream_ingest,
         "stream_customers": stream_customers,
         "stream_profile": stream_profile,
