@@ -591,6 +591,8 @@ def publish_gold(without: tuple[str, ...] = ()) -> str:
     )
 
 
+QUERIES["stream_latest"] = QUERIES["dedup_latest"]
+QUERIES["stream_rollup"] = rollup('CAST(substr("timestamp", 1, 10) AS DATE) AS "date", channel')
 QUERIES["catalog_bootstrap"] = catalog_bootstrap()
 QUERIES["publish_gold"] = publish_gold()
 QUERIES["incremental_gold"] = publish_gold(

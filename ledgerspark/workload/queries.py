@@ -15,13 +15,14 @@ from ledgerspark.operators import windows as W
 from ledgerspark.plans import fraud, segments as S
 from ledgerspark.plans.gold import publish_gold
 from ledgerspark.plans.incremental import GoldStore
-from ledgerspark.schemas import CUSTOMERS, TRANSACTIONS
+from ledgerspark.schemas import CUSTOMERS, SILVER_TRANSACTIONS, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
 from ledgerspark.sources.files import read_csv, write_csv
 from ledgerspark.sources.tables import bootstrap_catalog, overwrite_table, read_table
 from ledgerspark.streaming.ingest import read_stream, stream_transaction_table, write_stream
 from ledgerspark.streaming.silver import silver_transactions_stream
 from ledgerspark.streaming.summary import latest_summary, start_summary, streaming_data_summary
+from ledgerspark.streaming.upsert import read_daily_rollup, read_latest, start_daily_rollup, start_latest
 from ledgerspark.workload import bank
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +168,36 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of transactions arrive in three deliveries, the latest ones not last; the stream is restarted for each."""
+    path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    name = f"{_new_database(spark)}.transactions_latest"
+    raw = bank.raw_transactions(spark, sf_dir)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+    for delivery in range(3):
+        write_csv(raw.filter(part == delivery), path, mode="append")
+        arriving = read_stream(spark, path, TRANSACTIONS)
+        start_latest(
+            arriving, name, ["transaction_id"], "timestamp", checkpoint, buckets=8, available_now=True
+        ).awaitTermination()
+    return read_latest(spark, name)
+
+
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures per day and channel after three deliveries, the last one late; the stream is restarted for each."""
+    path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    name = f"{_new_database(spark)}.daily_by_channel"
+    transactions = bank.silver(spark, sf_dir).transactions
+    late, early = F.col("transaction_id").endswith("7"), F.col("timestamp") < "1996-01-01"
+    for delivery in (~late & early, ~late & ~early, late):
+        write_csv(transactions.filter(delivery), path, mode="append")
+        arriving = read_stream(spark, path, SILVER_TRANSACTIONS)
+        start_daily_rollup(
+            arriving, name, ["channel"], checkpoint, StreamConfig(watermark="4000 days"), available_now=True
+        ).awaitTermination()
+    return read_daily_rollup(spark, name)
+
+
 def catalog_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bootstrapped layers filled from the given tables: columns with types, and rows."""
     catalog = _new_catalog(spark)
@@ -354,6 +385,8 @@ def queries() -> dict[str, Query]:
         "stream_customers": stream_customers,
         "stream_profile": stream_profile,
         "stream_silver": stream_silver,
+        "stream_latest": stream_latest,
+        "stream_rollup": stream_rollup,
         "dedup_any": _on_raw_transactions(
             lambda t: C.remove_duplicates(t, ["transaction_id"]).select("transaction_id")
         ),
