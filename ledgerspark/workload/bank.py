@@ -148,6 +148,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_lines(transactions: DataFrame) -> DataFrame:
+    """Raw transactions as CSV lines, some with an amount that is no number, too many fields or too few."""
+    k = F.substring("transaction_id", 2, 20).cast("bigint")
+    fields = [F.when(_every(k, 50), "n/a").otherwise(F.col(c).cast("string")).alias(c) if c == "amount" else F.col(c) for c in transactions.columns]
+    line = F.to_csv(F.struct(*fields), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    longer, shorter = F.concat(line, F.lit(",surplus")), F.substring_index(line, ",", 3)
+    return transactions.select(F.when(_every(k, 70), longer).when(_every(k, 90), shorter).otherwise(line).alias("value"))
+
+
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw transactions in USD; small amounts and all hours of the day."""
     k = F.col("event_id")

@@ -591,6 +591,10 @@ def publish_gold(without: tuple[str, ...] = ()) -> str:
     )
 
 
+QUERIES["rescued_rows"] = QUERIES["stream_rescued"] = """
+SELECT transaction_id, CASE WHEN NOT quarantined THEN amount END AS amount, quarantined
+FROM (SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) AS k,
+             k % 50 = 0 OR k % 70 = 0 OR k % 90 = 0 AS quarantined FROM raw_transactions)"""
 QUERIES["stream_latest"] = QUERIES["dedup_latest"]
 QUERIES["stream_rollup"] = rollup('CAST(substr("timestamp", 1, 10) AS DATE) AS "date", channel')
 QUERIES["catalog_bootstrap"] = catalog_bootstrap()

@@ -17,7 +17,7 @@ from ledgerspark.plans.gold import publish_gold
 from ledgerspark.plans.incremental import GoldStore
 from ledgerspark.schemas import CUSTOMERS, SILVER_TRANSACTIONS, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
-from ledgerspark.sources.files import read_csv, write_csv
+from ledgerspark.sources.files import good_rows, quarantined_rows, read_csv, read_csv_rescued, write_csv
 from ledgerspark.sources.tables import bootstrap_catalog, overwrite_table, read_table
 from ledgerspark.streaming.ingest import read_stream, stream_transaction_table, write_stream
 from ledgerspark.streaming.silver import silver_transactions_stream
@@ -85,6 +85,36 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def _sorted_out(read: DataFrame) -> DataFrame:
+    """Good rows with their amounts, and of the quarantined lines the ids they begin with."""
+    good = good_rows(read).select("transaction_id", "amount", F.lit(False).alias("quarantined"))
+    apart = quarantined_rows(read).select(
+        F.substring_index("rescued_line", ",", 1).alias("transaction_id"),
+        F.lit(None).cast("double").alias("amount"),
+        F.lit(True).alias("quarantined"),
+    )
+    return good.unionByName(apart)
+
+
+def rescued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "dirty")
+    bank.dirty_lines(bank.raw_transactions(spark, sf_dir)).write.text(path)
+    return _sorted_out(read_csv_rescued(spark, path, TRANSACTIONS, header=False))
+
+
+def stream_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty files in two deliveries; good rows and quarantined lines of one table."""
+    path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    name = f"{_new_database(spark)}.transactions_raw"
+    raw, config = bank.raw_transactions(spark, sf_dir), StreamConfig(header=False)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+    for delivery in range(2):
+        bank.dirty_lines(raw.filter(part == delivery)).write.mode("append").text(path)
+        arriving = read_stream(spark, path, TRANSACTIONS, config, rescue=True)
+        write_stream(arriving, name, checkpoint, config, available_now=True).awaitTermination()
+    return _sorted_out(read_table(spark, name))
+
+
 def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream whose schema has dates and timestamps."""
     path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
@@ -381,7 +411,9 @@ def queries() -> dict[str, Query]:
         "incremental_gold": incremental_gold,
         "sketched_medians": sketched_medians,
         "sketched_uniques": sketched_uniques,
+        "rescued_rows": rescued_rows,
         "stream_ingest": stream_ingest,
+        "stream_rescued": stream_rescued,
         "stream_customers": stream_customers,
         "stream_profile": stream_profile,
         "stream_silver": stream_silver,
