@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ledgerspark.scratch import materialise
+
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 ROWS_PER_TASK = 1_000_000
@@ -173,7 +175,43 @@ def transaction_with_location(transactions: DataFrame, branches: DataFrame) -> D
     return lookup_join(transactions, places, ["branch_id"], "left")
 
 
-def full_outer(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """Chain of full outer joins; a null key matches nothing, so its rows stay apart."""
+def full_outer(frames: Sequence[DataFrame], on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Chain of full outer joins; a null key matches nothing, so its rows stay apart.
+
+    Keys with more than ``rows_per_task`` rows on either side are joined apart from the rest, their rows spread over tasks.
+    Beside the keys the frames' columns must differ.
+    """
     on = list(on)
-    return reduce(lambda a, b: a.join(b, on, "full_outer"), frames)
+    return reduce(lambda a, b: _full_outer(a, b, on, rows_per_task), frames)
+
+
+def _full_outer(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
+    counts = key_counts(left, on).withColumn("__left", F.lit(True)).unionAll(
+        key_counts(right, on).withColumn("__left", F.lit(False))
+    )
+    known = _all([F.col(c).isNotNull() for c in on])
+    # Null keys too tell that a plain join would put many rows into one task.
+    hot = materialise(counts.filter(F.col("__n") > rows_per_task), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, on, "full_outer")
+    # The side with more of a key's rows is spread, the other one repeated.
+    sides = hot.filter(known).groupBy(*on).agg(F.max(F.struct("__n", "__left"))["__left"].alias("__left"))
+    by_left, by_right = (sides.filter(F.col("__left") == side).select(*on) for side in (True, False))
+    mine, theirs = left.filter(known), right.filter(known)
+    parts = [left.filter(~known), right.filter(~known)]
+    parts += _spread_outer(mine, theirs, by_left, on, rows_per_task)
+    parts += _spread_outer(theirs, mine, by_right, on, rows_per_task)
+    cold = [lookup_join(side, sides.select(*on), on, "left_anti") for side in (mine, theirs)]
+    plain = cold[0].join(cold[1], on, "full_outer")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, plain)
+
+
+def _spread_outer(
+    more: DataFrame, fewer: DataFrame, keys: DataFrame, on: list[str], rows_per_task: int
+) -> list[DataFrame]:
+    """The full outer join over ``keys`` in two parts: all rows of ``more``, and what of ``fewer`` matches none."""
+    more, fewer = (lookup_join(side, keys, on, "left_semi") for side in (more, fewer))
+    return [
+        skew_join(more, fewer, on, "left", rows_per_task=rows_per_task),
+        skew_join(fewer, more.select(*on).distinct(), on, "left_anti", rows_per_task=rows_per_task),
+    ]

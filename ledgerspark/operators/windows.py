@@ -280,10 +280,14 @@ def rolling_average_days(
 def with_last_transaction(
     df: DataFrame, key: str = "customer_id", timestamp: str = "timestamp"
 ) -> DataFrame:
-    """Every row with the last ``timestamp`` of its key, null being a key too."""
+    """Every row with the last ``timestamp`` of its key, null being a key too.
+
+    The figures per key are written, since the join reads them three times: for hot keys, for salts and to join.
+    """
     stats = df.groupBy(key).agg(
         F.max(timestamp).alias("last_transaction_date"), F.count("*").alias("__n")
     )
+    stats = materialise(stats, "last-of-key")
     return skew_join(
         df,
         stats.select(key, "last_transaction_date"),

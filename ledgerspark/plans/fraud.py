@@ -11,6 +11,7 @@ from ledgerspark.config import FraudRules
 from ledgerspark.operators.joins import full_outer, skew_join
 from ledgerspark.operators.rollups import AMOUNT, monthly_counts
 from ledgerspark.operators.windows import sequential_ids
+from ledgerspark.scratch import materialise
 
 # Confidence per flag, in order of precedence.
 SCORES = {
@@ -43,9 +44,9 @@ def detect_velocity_check(df: DataFrame, rules: FraudRules = FraudRules()) -> Da
     """Transactions of a customer's busy month.
 
     Only the busy months are joined back, and the counts that make them busy also tell which of
-    them are too large for one task.
+    them are too large for one task. They are written, so that the transactions are counted once.
     """
-    counts = monthly_counts(df)
+    counts = materialise(monthly_counts(df), "monthly-counts")
     busy = counts.filter(F.col("monthly_count") > rules.velocity_above)
     scored = busy.select(*MONTH, F.lit(SCORES["velocity_check"]).alias("velocity_check"))
     sizes = counts.withColumnRenamed("monthly_count", "__n")

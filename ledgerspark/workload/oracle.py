@@ -591,6 +591,11 @@ def publish_gold(without: tuple[str, ...] = ()) -> str:
     )
 
 
+QUERIES["full_outer_skewed"] = f"""
+SELECT transaction_id, {dollars('usd')} AS "Amount_USD", customer_id, name
+FROM (SELECT transaction_id, usd, CASE WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0 THEN 'C1'
+          WHEN customer_id LIKE '%9' THEN 'C0' ELSE customer_id END AS customer_id FROM txn)
+FULL JOIN (SELECT customer_id, name FROM cust) USING (customer_id)"""
 QUERIES["rescued_rows"] = QUERIES["stream_rescued"] = """
 SELECT transaction_id, CASE WHEN NOT quarantined THEN amount END AS amount, quarantined
 FROM (SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) AS k,

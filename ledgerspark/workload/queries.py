@@ -359,6 +359,15 @@ def joined_branch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.join_customer_branch_transaction(s.customers, s.branches, s.transactions)
 
 
+def full_outer_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions, a third of them under one key, and customers, each with those that match none of the other."""
+    s = bank.silver(spark, sf_dir)
+    third = F.substring("transaction_id", 2, 20).cast("bigint") % 3 == 0
+    owner = F.when(third, "C1").when(F.col("customer_id").endswith("9"), "C0").otherwise(F.col("customer_id"))
+    spending = s.transactions.select("transaction_id", R.AMOUNT, owner.alias("customer_id"))
+    return J.full_outer([spending, s.customers.select("customer_id", "name")], ["customer_id"], rows_per_task=1000)
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean_transactions(bank.raw_transactions(spark, sf_dir), bank.CLEANING)
 
@@ -497,6 +506,7 @@ def queries() -> dict[str, Query]:
         "full_outer_flags": _on_transactions(
             lambda t: fraud.flagged_by_outer_joins(t, bank.FRAUD)
         ),
+        "full_outer_skewed": full_outer_skewed,
         "monthly_counts": _on_transactions(R.monthly_counts),
         "customer_type_agg": _on_silver(
             lambda s: R.customer_type_totals(s.customers, s.transactions)

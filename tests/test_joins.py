@@ -1,5 +1,7 @@
 """Joins give the same rows however they are carried out."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,25 @@ def test_three_tables_keep_transaction_columns(spark):
     joined = J.join_customer_branch_transaction(customers, branches, txns)
     assert joined.columns == txns.columns
     assert rows(joined) == [("T1", "C1", "B1")]
+
+
+@pytest.mark.parametrize("hot_left,hot_right", [(400, 1), (1, 400), (60, 50), (300, 0), (0, 300), (0, 0)])
+def test_full_outer_splits_hot_keys(spark, hot_left, hot_right):
+    left = [("h", i) for i in range(hot_left)] + [(None, i) for i in range(120)] + [(f"k{i}", i) for i in range(30)] + [("k1", 7)]
+    right = [("h", i) for i in range(hot_right)] + [(None, 1)] * 110 + [(f"k{i}", i) for i in range(20, 60)] + [("k59", 8)]
+    a, b = spark.createDataFrame(left, "k string, a int"), spark.createDataFrame(right, "k string, b int")
+    found = J.full_outer([a, b], ["k"], rows_per_task=40)
+    plain = a.join(b, ["k"], "full_outer")
+    assert found.columns == plain.columns
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_full_outer_chain_with_a_hot_key(spark):
+    frames = [
+        spark.createDataFrame([("h", 1, i) for i in range(n)] + [(f"k{i}", i, i) for i in range(j, 9)], f"k string, l int, c{j} int")
+        for j, n in enumerate((90, 1, 2))
+    ]
+    plain = frames[0].join(frames[1], ["k", "l"], "full_outer").join(frames[2], ["k", "l"], "full_outer")
+    found = J.full_outer(frames, ["k", "l"], rows_per_task=50)
+    assert Counter(map(tuple, found.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
