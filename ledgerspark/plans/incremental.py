@@ -128,7 +128,7 @@ class GoldStore:
         day = moment.try_cast("date")
         rows = transactions.withColumns({"day": day, "date": day, "hour": F.hour(moment.try_cast("timestamp"))})
         rows = materialise(rows, "delivery")
-        touched = {r.period for r in rows.select(_period("day")).distinct().collect()}
+        touched = _months(rows.select(_period("day")))
         for name, family in self._families().items():
             by_day = ["day"] if family.daily else []
             parts = family.parts(rows, [*family.keys, *by_day]).withColumn("delivery", F.lit(delivery))
@@ -149,7 +149,7 @@ class GoldStore:
         former = self.parts(family).filter(F.col("delivery") == delivery)
         months = set()
         if "period" in former.columns:
-            months = {r.period for r in former.select("period").distinct().collect()}
+            months = _months(former)
         places = [f"delivery = '{delivery}', period = '{m}'" for m in months] or [f"delivery = '{delivery}'"]
         dropped = ", ".join(f"PARTITION ({place})" for place in places)
         self.spark.sql(f"ALTER TABLE {self.table(family)} DROP IF EXISTS {dropped}")
@@ -168,7 +168,7 @@ class GoldStore:
         changed = F.col("period").isin(list(months)) if known else F.lit(True)
         days = builders.pop(by_date)(self.silver(customers, branches, changed))
         overwrite_partitions(days.withColumn("period", _period("date")), by_date, ["period"])
-        left = {r.period for r in self.parts("moments").filter(changed).select("period").distinct().collect()}
+        left = _months(self.parts("moments").filter(changed))
         for gone in set(months) - left:
             self.spark.sql(f"ALTER TABLE {by_date} DROP IF EXISTS PARTITION (period = '{gone}')")
         silver = self.silver(customers, branches)
@@ -235,3 +235,8 @@ class GoldStore:
 def _period(day: str) -> Column:
     """The month of a day as text, also where there is none: a partition's name can't be null."""
     return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none")).alias("period")
+
+
+def _months(df: DataFrame) -> set[str]:
+    """The months in ``period``: one aggregated row, as long as a calendar at most."""
+    return set(df.agg(F.collect_set("period")).first()[0])
