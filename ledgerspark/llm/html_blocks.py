@@ -17,9 +17,9 @@ EMBEDDED = frozenset("noscript template iframe svg math object audio video canva
 FOREIGN = frozenset("svg math".split())  # in these a tag may close itself
 CLOSES_SAME = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
-)
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # <!--> and <!---> are empty ones
+VALUE = r"=\s*(?:\"[^\"]*\"|'[^']*')(?=[\s/>])"  # a quote counts right after =, and closed where a value may end
+TOKEN = re.compile(rf"{COMMENT}|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:{VALUE}|[^>])*)(?:>|\Z)", re.S)
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 
@@ -39,7 +39,8 @@ def _marks(attributes: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """All blocks of ``page`` in order, character references decoded and white space made single.
 
-    Scripts, styles and comments are no text; a tag that the page breaks off in is dropped.
+    Scripts, styles and comments are no text; a tag that the page breaks off in is dropped. A quote within an unquoted value is
+    part of it, and one that is never closed ends with its tag, so neither swallows text.
     """
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
@@ -90,7 +91,7 @@ def blocks(page: str) -> list[Block]:
             add(" ")
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         if name in INLINE:

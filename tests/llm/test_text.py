@@ -117,6 +117,26 @@ def test_only_scripts_and_styles_are_no_content(name):
     assert [b.path for b in blocks("<p>a<svg/><p>b<svg><path d='M0'/><text>c</text></svg><p>d")] == [("p",), ("p",), ("p", "svg", "text"), ("p",)]
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<article><p title=it's>We don't know</p><p>second</p></article>", ["We don't know", "second"]),
+        ("<p title=it's>No other quote", ["No other quote"]),
+        ('<p a=5" b>Five "inches" wide</p>', ['Five "inches" wide']),
+        ("<p>one</p><!--> <p>two</p>", ["one", "two"]),
+        ("<p>one</p><!---> <p>two</p>", ["one", "two"]),
+        ("<p>one</p><!-- x --!> <p>two</p><!-- -- > --><p>three</p>", ["one", "two", "three"]),
+        ('<p>See <a href="x>this</a> text</p><p class="y">next</p>', ["See this text", "next"]),
+        ("<p>See <a href='x>that</a> it's so</p>", ["See that it's so"]),
+        ('<p title="a > b" data-x = \'<i>no</i>\'>body</p>', ["body"]),
+        ('<p class="a"id="b">body</p><img alt="a > b"/>end', ["body", "end"]),
+        ("<script>a</script x><p>one</p><style>b</style/><p>two</p>", ["one", "two"]),
+    ],
+)
+def test_quotes_and_comments_swallow_no_text(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
 def test_labeller_on_unseen_layouts_and_the_table(spark):
     model = html_text.fit_labeller(*html_text.written_examples(200), rounds=20)
     pages, labels = html_text.written_examples(100, seed=5)
