@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from ledgerspark.config import CatalogConfig, GoldRules
 from ledgerspark.operators import rollups as R
 from ledgerspark.operators.joins import transaction_with_location
+from ledgerspark.operators.rules import Rule, RulesBroken, enforce
 from ledgerspark.operators.windows import day_of, rolling_average_rows
 from ledgerspark.plans import segments as S
 from ledgerspark.plans.fraud import fraud_flags
@@ -29,6 +30,8 @@ class Silver:
 
 Builder = Callable[[Silver], DataFrame]
 
+KEYS = {"customers": "customer_id", "branches": "branch_id", "transactions": "transaction_id"}
+
 
 def gold_tables(
     rules: GoldRules = GoldRules(), catalog: CatalogConfig = CatalogConfig()
@@ -105,18 +108,34 @@ def _per_customer(silver: Silver) -> DataFrame:
     return silver.customer_summary
 
 
+def pass_checks(silver: Silver, checks: Mapping[str, Sequence[Rule]]) -> None:
+    """``RulesBroken`` unless every named frame passes its rules; each is read once."""
+    if not set(checks) <= set(KEYS):
+        raise ValueError(f"no silver frame: {', '.join(sorted(set(checks) - set(KEYS)))}")
+    failed = []
+    for name, rules in checks.items():
+        try:
+            enforce(getattr(silver, name), rules, KEYS[name])
+        except RulesBroken as broken:
+            failed.append(f"{name}: {broken}")
+    if failed:
+        raise RulesBroken("; ".join(failed))
+
+
 def publish_gold(
     silver: Silver,
     rules: GoldRules = GoldRules(),
     catalog: CatalogConfig = CatalogConfig(),
+    checks: Mapping[str, Sequence[Rule]] | None = None,
 ) -> list[str]:
     """Write every gold table and return their qualified names. A rerun replaces them.
 
-    Tables of single transactions are partitioned by ``catalog.partition_transactions_by``.
+    ``checks`` are rules by the name of a silver frame; nothing is written unless all frames pass theirs. Tables of single transactions are partitioned by ``catalog.partition_transactions_by``.
 
     The rollups come from a few small written summaries and the customers' tables from another, so
     the transactions are read once for each of those and not for each table.
     """
+    pass_checks(silver, checks or {})
     silver = replace(
         silver,
         summaries={keys: materialise(_summary(silver, keys), "summary") for keys in R.SUMMARIES},

@@ -43,7 +43,7 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str])
         spark.conf.set(PARTITION_MODE, before)
 
 
-def _columns(schema: T.StructType) -> str:
+def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
@@ -55,7 +55,7 @@ def bootstrap_catalog(spark: SparkSession, catalog: CatalogConfig = CatalogConfi
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{place}")
         for name, schema in tables.items():
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({_columns(schema)}) USING PARQUET"
+                f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({columns_ddl(schema)}) USING PARQUET"
             )
 
 

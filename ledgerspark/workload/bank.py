@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerspark.config import CleaningRules, FraudRules, GoldRules, SegmentRules
+from ledgerspark.operators.rules import matching, one_of, required, within
 from ledgerspark.plans.gold import Silver
 from ledgerspark.plans.silver import silver_branches, silver_customers, silver_transactions
 from ledgerspark.schemas import BRANCHES, CUSTOMERS, TRANSACTIONS
@@ -29,6 +30,12 @@ CLEANING = CleaningRules(
 SEGMENTS = SegmentRules(as_of="2001-11-01", high_value_total=1_500_000)
 FRAUD = FraudRules(velocity_above=2)
 TIER_EDGES = (2500, 3500)
+CHECKS = [
+    required("channel", allowed=0.02),
+    within("amount", 1000, 50000),
+    one_of("currency", ["USD", "EUR", "GBP"], allowed=0.3),
+    matching("channel", "^[A-Za-z]+$", allowed=0.5),
+]
 GOLD = GoldRules(segments=SEGMENTS, fraud=FRAUD, tier_edges=TIER_EDGES)
 
 

@@ -600,6 +600,24 @@ QUERIES["rescued_rows"] = QUERIES["stream_rescued"] = """
 SELECT transaction_id, CASE WHEN NOT quarantined THEN amount END AS amount, quarantined
 FROM (SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) AS k,
              k % 50 = 0 OR k % 70 = 0 OR k % 90 = 0 AS quarantined FROM raw_transactions)"""
+QUERIES["stream_widening"] = """
+SELECT * REPLACE (CASE WHEN "timestamp" >= '1995' THEN channel END AS channel,
+                  CASE WHEN "timestamp" >= '1995' THEN status END AS status) FROM raw_transactions"""
+CHECKS = {
+    "channel required": ("channel IS NULL", 0.02),
+    "amount within 1000 and 50000": ("amount NOT BETWEEN 1000 AND 50000", 0.0),
+    "currency one of USD, EUR, GBP": ("currency NOT IN ('USD', 'EUR', 'GBP')", 0.3),
+    "channel matching ^[A-Za-z]+$": ("NOT regexp_matches(channel, '^[A-Za-z]+$')", 0.5),
+}
+QUERIES["rule_report"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS rule, count(*) AS row_count, count(*) FILTER ({broken}) AS violations,
+        min(transaction_id) FILTER ({broken}) AS first_offender,
+        max(transaction_id) FILTER ({broken}) AS last_offender, CAST({allowed} AS DOUBLE) AS allowed,
+        count(*) FILTER ({broken}) <= CAST({allowed} AS DOUBLE) * count(*) AS passed FROM raw_transactions"""
+    for name, (broken, allowed) in CHECKS.items()
+)
+BROKEN = ", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, (broken, _) in CHECKS.items())
+QUERIES["broken_rules"] = f"SELECT transaction_id, concat_ws('; ', {BROKEN}) AS broken_rules FROM raw_transactions"
 QUERIES["stream_latest"] = QUERIES["dedup_latest"]
 QUERIES["stream_rollup"] = rollup('CAST(substr("timestamp", 1, 10) AS DATE) AS "date", channel')
 QUERIES["catalog_bootstrap"] = catalog_bootstrap()

@@ -10,15 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgerspark.config import CatalogConfig, StreamConfig
 from ledgerspark.functions import enrich as E
-from ledgerspark.operators import audits, cleaning as C, joins as J, profiling as P, rollups as R
+from ledgerspark.operators import audits, cleaning as C, joins as J, profiling as P, rollups as R, rules as Q
 from ledgerspark.operators import windows as W
 from ledgerspark.plans import fraud, segments as S
 from ledgerspark.plans.gold import publish_gold
 from ledgerspark.plans.incremental import GoldStore
 from ledgerspark.schemas import CUSTOMERS, SILVER_TRANSACTIONS, TRANSACTIONS
 from ledgerspark.scratch import scratch_path
+from ledgerspark.sources.evolving import DELIVERY, SchemaStore, read_evolving
 from ledgerspark.sources.files import good_rows, quarantined_rows, read_csv, read_csv_rescued, write_csv
 from ledgerspark.sources.tables import bootstrap_catalog, overwrite_table, read_table
+from ledgerspark.streaming.evolving import start_evolving
 from ledgerspark.streaming.ingest import read_stream, stream_transaction_table, write_stream
 from ledgerspark.streaming.silver import silver_transactions_stream
 from ledgerspark.streaming.summary import latest_summary, start_summary, streaming_data_summary
@@ -115,6 +117,22 @@ def stream_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sorted_out(read_table(spark, name))
 
 
+def stream_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries before 1995 without two columns, then in another order with all; the table widens for them."""
+    path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    database, raw = _new_database(spark), bank.raw_transactions(spark, sf_dir)
+    name, store = f"{database}.transactions_raw", SchemaStore(spark, f"{database}.transactions_schemas")
+    early = F.coalesce(F.col("timestamp") < "1995", F.lit(False))
+    kinds = {f.name: f.dataType for f in TRANSACTIONS}
+    for folder, rows in (
+        ("narrow", raw.filter(early).drop("channel", "status")),
+        ("wide", raw.filter(~early).select(*reversed(raw.columns))),
+    ):
+        write_csv(rows, f"{path}/{folder}")
+        start_evolving(spark, path, kinds, name, checkpoint, store, available_now=True).awaitTermination()
+    return read_evolving(spark, name).drop(DELIVERY)
+
+
 def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream whose schema has dates and timestamps."""
     path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
@@ -423,6 +441,7 @@ def queries() -> dict[str, Query]:
         "rescued_rows": rescued_rows,
         "stream_ingest": stream_ingest,
         "stream_rescued": stream_rescued,
+        "stream_widening": stream_widening,
         "stream_customers": stream_customers,
         "stream_profile": stream_profile,
         "stream_silver": stream_silver,
@@ -454,6 +473,12 @@ def queries() -> dict[str, Query]:
                 {"large": F.col("amount") > 100000, "no_currency": F.col("currency").isNull()},
             )
         ),
+        "rule_report": _on_raw_transactions(lambda t: Q.rule_report(t, bank.CHECKS, "transaction_id")),
+        "broken_rules": _on_raw_transactions(
+            lambda t: Q.broken_rules(t, bank.CHECKS).select(
+                "transaction_id", F.array_join("broken_rules", "; ").alias("broken_rules")
+            )
+        ),
         "dedup_latest": _on_raw_transactions(
             lambda t: C.clean_duplicate_transactions(t, ["transaction_id"], "timestamp")
         ),
