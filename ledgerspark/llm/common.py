@@ -67,18 +67,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id) == 0, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, key: str, bound: int, seed: int = 0) -> DataFrame:
-    """At most about ``bound`` rows, chosen by a hash of ``key``: reruns take the same ones."""
-    total = rows.agg(F.count("*")).first()[0]
-    if total <= bound:
-        return rows
-    return rows.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int((1 << 30) * bound / total))
+def bounded_sample(rows: DataFrame, keys: list[str], bound: int, seed: int = 0) -> DataFrame:
+    """``bound`` rows of ``rows``, all if fewer, chosen by a hash of ``keys``: reruns take the same ones.
+
+    Rows equal in ``keys`` are told apart by their place, so the bound holds however often a key repeats.
+    """
+    placed = rows.withColumn("__place", F.monotonically_increasing_id())
+    return smallest_hashes(placed, keys, "__place", bound, seed).drop("__place")
 
 
 def smallest_hashes(rows: DataFrame, keys: list[str], row_key: str, bound: int, seed: int = 0) -> DataFrame:
     """``bound`` rows of ``rows``, all if fewer: those with the smallest hashes of ``keys``.
 
-    ``row_key`` is a written number that no two rows share. It parts equal rows, so the bound is a hard one however often a
+    ``row_key`` is a number that no two rows share, best a written one. It parts equal rows, so the bound is a hard one however often a
     key or a text repeats. Only hashes and numbers are ordered, and of a large table only a share of them.
     """
     total = rows.count()

@@ -302,7 +302,7 @@ def written_examples(count: int, seed: int = 88) -> tuple[list[np.ndarray], list
 def fit_on_pages(
     pages: DataFrame, html_col: str = "html", url_col: str = "url", max_pages: int = 400, written: int = 400
 ) -> BlockLabeller:
-    """Train on about ``max_pages`` marked pages of the table and ``written`` pages of the grammar.
+    """Train on the marked ones of ``max_pages`` pages of the table and ``written`` pages of the grammar.
 
     Of a longer training page a run of ``MAX_TRAINED_BLOCKS`` blocks is learnt from. The driver gets vectors and labels, not pages.
     """
@@ -319,7 +319,7 @@ def fit_on_pages(
                     yield pd.DataFrame([row], columns=["x", "y"])
 
     rows = pages.select(F.col(html_col).alias("html"), F.col(url_col).alias("url")).filter("html is not null")
-    sample = bounded_sample(rows, "url", max_pages, seed=8)
+    sample = bounded_sample(rows, ["url", "html"], max_pages, seed=8)
     held = sorted(map(tuple, sample.select("html").mapInPandas(run, "x binary, y binary").collect()))
     vectors, labels = written_examples(written)
     vectors += [np.frombuffer(x, np.float32).reshape(-1, WIDTH) for x, _ in held]

@@ -320,9 +320,18 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
     return nearer.select("row.*", F.col("copy.shard").alias("__shard"), order.alias("__order"))
 
 
+def shuffled_shards(docs: DataFrame, **settings) -> DataFrame:
+    """:func:`mixed_texts` dealt out by shard, the rows of each shard in shuffled order.
+
+    Shards have about equal words, so no task gets much more than another, whatever the sources' sizes. Columns named
+    ``__shard`` and ``__order`` must not be among those of ``docs``; an empty table gives no rows.
+    """
+    clash = {"__shard", "__order"} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns {', '.join(sorted(clash))} are the mix's own")
+    return mixed_texts(docs, **settings).repartition("__shard").sortWithinPartitions("__shard", "__order")
+
+
 def write_mix(docs: DataFrame, path: str, **settings) -> None:
-    """Write the mix in one folder per shard, the rows of each shard in shuffled order."""
-    mixed = mixed_texts(docs, **settings)
-    mixed.repartition("__shard").sortWithinPartitions("__shard", "__order").drop("__order").write.partitionBy(
-        "__shard"
-    ).parquet(path)
+    """Write :func:`shuffled_shards` in one folder per shard; nulls and repeated rows as there, no rows no folder."""
+    shuffled_shards(docs, **settings).drop("__order").write.partitionBy("__shard").parquet(path)

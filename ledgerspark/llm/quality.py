@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.llm.common import bounded_sample, held_out, known_labels, labelled_rows
+from ledgerspark.scratch import materialise
 
 SYMBOLS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WIDTH = len(SYMBOLS) + 16
@@ -201,16 +202,17 @@ def fit_quality(
     max_positive: int = 12_000,
     max_unlabelled: int = 12_000,
 ) -> QualityModel:
-    """Learn from about ``max_positive`` rows labelled 1 and ``max_unlabelled`` unlabelled rows.
+    """Learn from ``max_positive`` rows labelled 1 and ``max_unlabelled`` unlabelled rows at most.
 
     Labels come only from rows outside fold 0, and so does the unlabelled text, whose labels, if any, are not read. The driver gets
     the measures of these samples, never texts. ``prior`` is estimated where it is not given.
     """
-    trusted = bounded_sample(known_labels(labels, label).filter("label = 1"), "doc_id", max_positive, seed=2)
+    trusted = bounded_sample(known_labels(labels, label).filter("label = 1"), ["doc_id"], max_positive, seed=2)
+    positive = materialise(labelled_rows(docs, trusted).select("doc_id", "text"), "quality-positive")
     unlabelled = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return fit_measures(
-        _shuffled(_measured(labelled_rows(docs, trusted))),
-        _shuffled(_measured(bounded_sample(unlabelled, "doc_id", max_unlabelled, seed=3))),
+        _shuffled(_measured(bounded_sample(positive, ["doc_id", "text"], max_positive, seed=2))),
+        _shuffled(_measured(bounded_sample(unlabelled, ["doc_id", "text"], max_unlabelled, seed=3))),
         prior,
     )
 
@@ -232,7 +234,11 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose text scores ``threshold`` or more."""
+    """The rows of ``docs``, with their columns, whose text scores ``threshold`` or more.
+
+    Null text counts as empty, texts are read whole, repeated rows stay or go together, an empty table gives no rows; no
+    column is added, so none can clash.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

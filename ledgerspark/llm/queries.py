@@ -53,7 +53,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 3 : 1 : 2 mix of 150% of all words takes of every document."""
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     taken = F.aggregate("copies", F.lit(0).cast("bigint"), lambda sum_, c: sum_ + c["words"])
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    shards = F.transform("copies", lambda c: c["shard"]).alias("shards")  # of each copy, in the order of the passes
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), shards)
 
 
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:

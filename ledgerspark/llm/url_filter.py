@@ -55,8 +55,8 @@ def build_filter(rules: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> np.ndar
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
     )
     filled = np.zeros(blocks * BLOCK_WORDS, dtype=np.int64)
-    for word, mask in words.collect():
-        filled[word] = mask
+    found = words.toArrow()  # two numbers for a word, not rows
+    filled[found["word"].to_numpy()] = found["mask"].to_numpy()
     return filled.view(np.uint64).reshape(blocks, BLOCK_WORDS)
 
 

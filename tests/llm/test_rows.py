@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import ann, dedup, mixing, queries, sharding, topk, url_filter
+from ledgerspark.scratch import scratch_path
 
 FOLDER = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,6 +65,31 @@ def test_mix_meets_its_targets(odd, block_words):
     assert Counter(rows) == Counter(again)
 
 
+def test_the_mix_is_dealt_out_by_shard_and_shuffled(spark):
+    rows = [(i, " ".join(["w"] * (20 + i % 30)), None, f"s{i % 3}", None, None, None) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, ids string")
+    settings = {"block_words": 64, "shard_words": 10_000}
+    dealt = mixing.shuffled_shards(docs, **settings).select("*", F.spark_partition_id().alias("task")).collect()
+    words, tasks, order = Counter(), {}, {}
+    for r in dealt:
+        words[r["__shard"]] += len(r.text.split())
+        tasks.setdefault(r["__shard"], set()).add(r.task)
+        order.setdefault(r["__shard"], []).append(r.doc_id)
+    assert len(words) > 10 and all(len(t) == 1 for t in tasks.values())
+    assert max(words.values()) < 1.2 * np.mean(list(words.values())) and min(words.values()) > 0.8 * np.mean(list(words.values()))
+    assert all(ids != sorted(ids) for ids in order.values())
+    shares = {s: Counter(r.source for r in dealt if r["__shard"] == s) for s in words}
+    whole = Counter(r.source for r in dealt)
+    for source, n in whole.items():  # every shard mixes the sources as the whole does
+        assert all(abs(c[source] / sum(c.values()) - n / len(dealt)) < 0.15 for c in shares.values())
+    path = scratch_path(spark, "mix")
+    mixing.write_mix(docs, path, **settings)
+    written = spark.read.parquet(path)
+    assert Counter((r["__shard"], r.doc_id) for r in written.collect()) == Counter((r["__shard"], r.doc_id) for r in dealt)
+    with pytest.raises(ValueError):
+        mixing.shuffled_shards(docs.withColumn("__shard", F.lit(1)))
+
+
 def test_mixed_texts_are_whole_but_one_for_each_source(odd):
     mixed = mixing.mixed_texts(odd, block_words=64).collect()
     whole = {r.doc_id: r.text for r in odd.collect()}

@@ -1,12 +1,15 @@
 """BPE, classifiers, page extraction: against a library, by round trip, on held-out rows."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import bpe, html_text, quality, queries, toxicity
+from ledgerspark.llm.common import bounded_sample
 from ledgerspark.llm.html_blocks import blocks
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, ids string"
@@ -137,6 +140,30 @@ def test_quotes_and_comments_swallow_no_text(page, texts):
     assert [b.text for b in blocks(page)] == texts
 
 
+def test_samples_are_bounded_where_one_row_fills_a_third(spark):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("url"), F.lit("x").alias("html"))
+    for bound in (0, 1, 400, 9000, 10_000):
+        assert bounded_sample(rows, ["url", "html"], bound).count() == min(bound, 9000)
+    assert sorted(bounded_sample(rows, ["url"], 50).collect()) == sorted(bounded_sample(rows.repartition(5), ["url"], 50).collect())
+    assert bounded_sample(rows.limit(0), ["url"], 5).count() == 0
+
+
+def test_digests_equal_the_library_s(spark):
+    folder = "/root/testdata/sf0.001"
+    library = tokenizers.Tokenizer.from_file(queries.vocabulary_path())
+    library.no_truncation()
+    library.no_padding()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = queries.op3_bpe(spark, folder).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_labeller_on_unseen_layouts_and_the_table(spark):
     model = html_text.fit_labeller(*html_text.written_examples(200), rounds=20)
     pages, labels = html_text.written_examples(100, seed=5)
