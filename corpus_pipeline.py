@@ -27,9 +27,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each copy that the mix takes, with its whole text."""
+    """A row for each copy that the mix takes, with its whole text, shard by shard in shuffled order."""
     ship_package(spark)
-    return mixing.mixed_texts(docs).select(*docs.columns)
+    return mixing.shuffled_shards(docs).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
