@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ledgerspark.config import StreamConfig
 from ledgerspark.operators import rollups as R
 from ledgerspark.operators.cleaning import clean_duplicate_transactions
+from ledgerspark.scratch import small_sorts
 from ledgerspark.sources.tables import overwrite_partitions
 
 BUCKET = "key_bucket"
@@ -40,13 +41,18 @@ def upsert(
     spark, staged = batch.sparkSession, f"{staging.rstrip('/')}/batch-{batch_id}"
     if not _complete(spark, staged):
         others = [c for c in batch.columns if c not in (*keys, order_by, partition_by)]
-        latest = clean_duplicate_transactions(batch, keys, order_by, others)
+        # One row per partition of the table that the batch touches.
+        touched = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
+        rows, merged = sum(t.n for t in touched), batch
         if spark.catalog.tableExists(table):
-            touched = batch.select(partition_by).distinct()
-            stored = spark.read.table(table).join(F.broadcast(touched), partition_by, "left_semi")
-            latest = clean_duplicate_transactions(latest.unionByName(stored), keys, order_by, others)
-        latest.write.mode("overwrite").parquet(staged)
-    overwrite_partitions(spark.read.parquet(staged), table, [partition_by])
+            stored = spark.read.table(table).filter(F.col(partition_by).isin([t[0] for t in touched]))
+            rows, merged = rows + stored.count(), batch.unionByName(stored)
+        with small_sorts(spark, rows):
+            latest = clean_duplicate_transactions(merged, keys, order_by, others)
+            latest.write.mode("overwrite").parquet(staged)
+    ready = spark.read.parquet(staged)
+    with small_sorts(spark, ready.count()):
+        overwrite_partitions(ready, table, [partition_by])
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, config: StreamConfig, available_now: bool) -> StreamingQuery:

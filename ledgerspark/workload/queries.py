@@ -16,7 +16,7 @@ from ledgerspark.plans import fraud, segments as S
 from ledgerspark.plans.gold import publish_gold
 from ledgerspark.plans.incremental import GoldStore
 from ledgerspark.schemas import CUSTOMERS, SILVER_TRANSACTIONS, TRANSACTIONS
-from ledgerspark.scratch import scratch_path
+from ledgerspark.scratch import materialise, scratch_path, small_sorts
 from ledgerspark.sources.evolving import DELIVERY, SchemaStore, read_evolving
 from ledgerspark.sources.files import good_rows, quarantined_rows, read_csv, read_csv_rescued, write_csv
 from ledgerspark.sources.tables import bootstrap_catalog, overwrite_table, read_table
@@ -220,7 +220,8 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of transactions arrive in three deliveries, the latest ones not last; the stream is restarted for each."""
     path, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
     name = f"{_new_database(spark)}.transactions_latest"
-    raw = bank.raw_transactions(spark, sf_dir)
+    with small_sorts(spark, bank.table(spark, sf_dir, "lineitem").count()):
+        raw = materialise(bank.raw_transactions(spark, sf_dir), "raw")
     part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
     for delivery in range(3):
         write_csv(raw.filter(part == delivery), path, mode="append")

@@ -6,6 +6,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerspark import scratch
 from ledgerspark.config import StreamConfig
 from ledgerspark.operators import rollups as R
 from ledgerspark.operators.cleaning import clean_duplicate_transactions
@@ -106,3 +107,21 @@ def test_daily_rollup_over_restarts_and_late_rows(spark, place):
     dated = txns(spark, *counted).withColumn("date", F.col("timestamp").cast("date"))
     expected = R.rollup(dated, ["date", "channel"])
     assert rows_of(U.read_daily_rollup(spark, table), expected.columns) == rows_of(expected, expected.columns)
+
+
+def test_a_batch_is_ranked_once_with_what_is_stored_in_small_tasks(spark, place, monkeypatch):
+    table, _ = place
+    monkeypatch.setattr(scratch, "SORT_ROWS", 2)
+    usual, calls = int(spark.conf.get(scratch.PARTITIONS)), []
+
+    def ranked(df, *args):
+        calls.append((df.count(), int(spark.conf.get(scratch.PARTITIONS))))
+        return clean_duplicate_transactions(df, *args)
+
+    monkeypatch.setattr(U, "clean_duplicate_transactions", ranked)
+    for batch in range(2):
+        rows = [(f"k{i}", f"2023-01-0{batch + 1}", "open") for i in range(40)]
+        U.upsert(keyed(spark, rows), batch, table, ["id"], "moment", U.BUCKET, scratch_path(spark, "staged"))
+    assert calls == [(40, max(usual, 20)), (80, max(usual, 40))]
+    assert int(spark.conf.get(scratch.PARTITIONS)) == usual
+    assert {(r.moment, r.status) for r in U.read_latest(spark, table).collect()} == {("2023-01-02", "open")}
