@@ -15,7 +15,7 @@ from ledgerspark.operators.rules import matching, one_of, required, within
 from ledgerspark.plans.gold import Silver
 from ledgerspark.plans.silver import silver_branches, silver_customers, silver_transactions
 from ledgerspark.schemas import BRANCHES, CUSTOMERS, TRANSACTIONS
-from ledgerspark.scratch import scratch_path
+from ledgerspark.scratch import scratch_path, small_sorts
 from ledgerspark.sources.files import spread_scan
 
 # Units per USD.
@@ -223,8 +223,9 @@ def build_silver(spark: SparkSession, sf_dir: str) -> str:
         silver_branches(raw.branches, gazetteer(spark, sf_dir), CLEANING),
         silver_transactions(raw.transactions, rates(spark), CLEANING),
     )
-    for name, frame in zip(SILVER_NAMES, frames):
-        frame.write.parquet(f"{path}/{name}")
+    with small_sorts(spark, table(spark, sf_dir, "lineitem").count()):
+        for name, frame in zip(SILVER_NAMES, frames):
+            frame.write.parquet(f"{path}/{name}")
     return path
 
 
