@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,8 @@ class Silver:
 
 Builder = Callable[[Silver], DataFrame]
 
+WRITERS = 4  # tables written at a time, so that the last tasks of one leave no core idle
+
 KEYS = {"customers": "customer_id", "branches": "branch_id", "transactions": "transaction_id"}
 
 
@@ -136,15 +139,18 @@ def publish_gold(
     the transactions are read once for each of those and not for each table.
     """
     pass_checks(silver, checks or {})
-    silver = replace(
-        silver,
-        summaries={keys: materialise(_summary(silver, keys), "summary") for keys in R.SUMMARIES},
-        customer_summary=materialise(_per_customer(silver), "customers"),
-    )
-    published = []
-    for name, build in gold_tables(rules, catalog).items():
+    with ThreadPoolExecutor(WRITERS) as writers:
+        customers = writers.submit(lambda: materialise(_per_customer(silver), "customers"))
+        summaries = list(writers.map(lambda keys: materialise(_summary(silver, keys), "summary"), R.SUMMARIES))
+        summed = replace(
+            silver, summaries=dict(zip(R.SUMMARIES, summaries)), customer_summary=customers.result()
+        )
+
+    def publish(name: str, build: Builder) -> str:
         table = f"{catalog.gold}.{name}"
-        frame, cut = build(silver), catalog.partition_transactions_by
+        frame, cut = build(summed), catalog.partition_transactions_by
         overwrite_table(frame, table, cut if {"transaction_id", *cut} <= set(frame.columns) else ())
-        published.append(table)
-    return published
+        return table
+
+    with ThreadPoolExecutor(WRITERS) as writers:
+        return list(writers.map(lambda item: publish(*item), gold_tables(rules, catalog).items()))

@@ -3,16 +3,19 @@
 import re
 from dataclasses import replace
 from pathlib import Path
+from threading import Barrier
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 import ledgerspark
+from ledgerspark import scratch
 from ledgerspark.config import CatalogConfig
 from ledgerspark.functions.enrich import convert_currency_to_usd
 from ledgerspark.operators import cleaning as C, rollups as R
 from ledgerspark.operators.profiling import data_summary
-from ledgerspark.plans import fraud
+from ledgerspark.plans import fraud, gold
 from ledgerspark.plans.gold import gold_tables, publish_gold
 from ledgerspark.scratch import materialise, scratch_path
 from ledgerspark.workload import bank
@@ -114,3 +117,43 @@ def test_partitioned_transactions_are_pruned(spark, sf_dir):
     assert re.search(r"PartitionFilters: \[[^]]*year[^]]*month", text) and "PushedFilters: []" in text
     totals = spark.read.table(f"{name}.channel_aggregations_table")
     assert sum(r.transaction_count for r in totals.collect()) == placed.count()
+
+
+def test_silver_is_built_in_tasks_of_few_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(scratch, "SORT_ROWS", 100)
+    names = (scratch.PARTITIONS, scratch.ADVISORY)
+    usual, seen, write = [spark.conf.get(n) for n in names], [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        seen.append((int(spark.conf.get(names[0])), spark.conf.get(names[1])))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    path = bank.build_silver(spark, sf_dir)
+    rows = bank.table(spark, sf_dir, "lineitem").count()
+    assert seen == [(max(int(usual[0]), -(-rows // 100)), f"{scratch.SORT_BYTES}b")] * 3
+    assert [spark.conf.get(n) for n in names] == usual
+    built = spark.read.parquet(f"{path}/transactions")
+    assert sorted(built.collect()) == sorted(bank.silver(spark, sf_dir).transactions.collect())
+
+
+def test_sizes_of_tasks_are_set_back_after_a_failure(spark):
+    names = (scratch.ADAPTIVE, scratch.ADVISORY, scratch.PARTITIONS)
+    usual = [spark.conf.get(n) for n in names]
+    with pytest.raises(KeyError), scratch.small_sorts(spark, 10**9):
+        assert int(spark.conf.get(scratch.PARTITIONS)) == 2000
+        raise KeyError
+    assert [spark.conf.get(n) for n in names] == usual
+
+
+def test_gold_tables_are_written_beside_each_other(spark, sf_dir, monkeypatch):
+    both, written = Barrier(2, timeout=60), []
+
+    def meet(frame, name, cut):
+        both.wait()
+        written.append(name)
+
+    monkeypatch.setattr(gold, "gold_tables", lambda *_: {"one": lambda s: s.branches, "two": lambda s: s.branches})
+    monkeypatch.setattr(gold, "overwrite_table", meet)
+    assert publish_gold(bank.silver(spark, sf_dir), bank.GOLD, CatalogConfig(gold="g")) == ["g.one", "g.two"]
+    assert sorted(written) == ["g.one", "g.two"]
