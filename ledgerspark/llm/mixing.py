@@ -307,9 +307,10 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
     Texts are whole: the document at a source's cut is taken or left, whichever is nearer to the target. A source
     is off its target by at most half the words of that document, and of the rows that repeat its id and text.
     """
-    sized = materialise(measure(docs), "mix-sizes")
-    mix = plan_mix(sized, **settings)
-    seed = settings.get("seed", 20)
+    return _texts_of(docs, plan_mix(materialise(measure(docs), "mix-sizes"), **settings), settings.get("seed", 20))
+
+
+def _texts_of(docs: DataFrame, mix: Mix, seed: int) -> DataFrame:
     held = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
     rows = held.select(
         "row", "source", word_count(F.col("text")).alias("size"), _key(held, "doc_id", "text").alias("h")
@@ -323,13 +324,17 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
 def shuffled_shards(docs: DataFrame, **settings) -> DataFrame:
     """:func:`mixed_texts` dealt out by shard, the rows of each shard in shuffled order.
 
-    Shards have about equal words, so no task gets much more than another, whatever the sources' sizes. Columns named
+    Shards have about equal words and each is a task of its own, so no task gets much more than another, whatever the
+    sources' sizes. Columns named
     ``__shard`` and ``__order`` must not be among those of ``docs``; an empty table gives no rows.
     """
     clash = {"__shard", "__order"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {', '.join(sorted(clash))} are the mix's own")
-    return mixed_texts(docs, **settings).repartition("__shard").sortWithinPartitions("__shard", "__order")
+    mix = plan_mix(materialise(measure(docs), "mix-sizes"), **settings)
+    texts = _texts_of(docs, mix, settings.get("seed", 20))
+    # By number: a hash deals several shards to one task and none to others.
+    return texts.repartitionById(mix.shards, F.col("__shard").cast("int")).sortWithinPartitions("__shard", "__order")
 
 
 def write_mix(docs: DataFrame, path: str, **settings) -> None:

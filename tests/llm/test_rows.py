@@ -90,6 +90,13 @@ def test_the_mix_is_dealt_out_by_shard_and_shuffled(spark):
         mixing.shuffled_shards(docs.withColumn("__shard", F.lit(1)))
 
 
+def test_each_shard_of_the_mix_is_a_task_of_its_own(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "'s' AS source", "repeat(concat('w', id, ' '), 50) AS text")
+    dealt = mixing.shuffled_shards(docs, block_words=64, shard_words=2000)
+    places = dealt.select("__shard", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(places) == len({r["__shard"] for r in places}) == len({r.task for r in places}) > 20
+
+
 def test_mixed_texts_are_whole_but_one_for_each_source(odd):
     mixed = mixing.mixed_texts(odd, block_words=64).collect()
     whole = {r.doc_id: r.text for r in odd.collect()}
