@@ -13,6 +13,7 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 ROWS_PER_TASK = 1_000_000
 KEYLESS_SALTS = 10_000
+SLOTS = 1 << 16
 
 # How much of a join's left side may be spread over salts without changing the result.
 SPREADABLE = {"inner", "left", "left_outer", "left_semi", "left_anti"}
@@ -185,13 +186,27 @@ def full_outer(frames: Sequence[DataFrame], on: Sequence[str], rows_per_task: in
     return reduce(lambda a, b: _full_outer(a, b, on, rows_per_task), frames)
 
 
+def _full_keys(df: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
+    """Counts of the keys with more than ``rows_per_task`` rows.
+
+    Rows are counted by a hash of the key first, which moves little. Only keys whose hash has that many rows are counted
+    themselves.
+    """
+    slotted = df.select(*on, F.pmod(F.xxhash64(*on), F.lit(SLOTS)).alias("__slot"))
+    full = materialise(key_counts(slotted, ["__slot"]).filter(F.col("__n") > rows_per_task), "full-slots")
+    within = slotted.join(F.broadcast(full.select("__slot")), "__slot", "left_semi")
+    return key_counts(within, on).filter(F.col("__n") > rows_per_task)
+
+
 def _full_outer(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
-    counts = key_counts(left, on).withColumn("__left", F.lit(True)).unionAll(
-        key_counts(right, on).withColumn("__left", F.lit(False))
+    # Written, since both are read to count and to join, and a left side is a join itself.
+    left, right = materialise(left, "outer-left"), materialise(right, "outer-right")
+    counts = _full_keys(left, on, rows_per_task).withColumn("__left", F.lit(True)).unionAll(
+        _full_keys(right, on, rows_per_task).withColumn("__left", F.lit(False))
     )
     known = _all([F.col(c).isNotNull() for c in on])
     # Null keys too tell that a plain join would put many rows into one task.
-    hot = materialise(counts.filter(F.col("__n") > rows_per_task), "hot-keys")
+    hot = materialise(counts, "hot-keys")
     if hot.isEmpty():
         return left.join(right, on, "full_outer")
     # The side with more of a key's rows is spread, the other one repeated.

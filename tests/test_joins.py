@@ -143,3 +143,19 @@ def test_full_outer_chain_with_a_hot_key(spark):
     found = J.full_outer(frames, ["k", "l"], rows_per_task=50)
     assert Counter(map(tuple, found.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
     assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("slots", [1, 7])
+def test_full_keys_are_those_of_a_plain_count(spark, monkeypatch, slots):
+    monkeypatch.setattr(J, "SLOTS", slots)
+    rows = [(k, l) for k, n in ((1, 90), (2, 40), (3, 41), (None, 60), (4, 1)) for l in ["x"] * n]
+    df = spark.createDataFrame(rows, "k int, l string")
+    assert sorted(map(tuple, J._full_keys(df, ["k", "l"], 40).collect()), key=repr) == [(1, "x", 90), (3, "x", 41), (None, "x", 60)]
+    assert J._full_keys(df, ["k", "l"], 90).count() == 0
+
+
+def test_a_full_outer_chain_joins_each_pair_once(spark):
+    frames = [spark.createDataFrame([(i, i) for i in range(n, n + 9)], f"k int, v{n} int") for n in range(3)]
+    chained = J.full_outer(frames, ["k"])
+    assert chained._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter") == 1
+    assert chained.count() == 11
