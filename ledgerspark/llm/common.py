@@ -17,8 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 500
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_SIZE = "2m"
 SCAN_BATCH = "spark.sql.parquet.columnarReaderBatchSize"
-SCAN_ROWS = 256
+SCAN_ROWS = 64
 
 _shipped: set[str] = set()
 
@@ -26,14 +27,14 @@ _shipped: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers of every executor this package, once per application.
 
-    Texts are long, so a session that does not say otherwise hands ``BATCH_ROWS`` rows and 8 MB at a time to a worker, and
-    reads ``SCAN_ROWS`` rows of a Parquet file at once: a scan holds all values of a column's batch in one array, and
-    doubles it as it grows.
+    Texts are long, so a session that does not say otherwise hands ``BATCH_ROWS`` rows and ``BATCH_SIZE`` bytes at a time to a worker,
+    which takes several times as much while it works on them, and keeps it. It reads ``SCAN_ROWS`` rows of a Parquet file at
+    once: a scan holds all values of a column's batch in one array, and doubles it as it grows.
     """
     if spark.conf.get(BATCH) == "10000":
         spark.conf.set(BATCH, str(BATCH_ROWS))
     if spark.conf.get(BATCH_BYTES) == "67108864b":
-        spark.conf.set(BATCH_BYTES, "8m")
+        spark.conf.set(BATCH_BYTES, BATCH_SIZE)
     if spark.conf.get(SCAN_BATCH) == "4096":
         spark.conf.set(SCAN_BATCH, str(SCAN_ROWS))
     app = spark.sparkContext.applicationId

@@ -68,21 +68,49 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(total, -50, 50))))
 
 
-def _class_counts(rows: DataFrame) -> pd.DataFrame:
-    """``slot, toxic, clean``: texts of either class that hold the slot; at most 2**BITS rows."""
+def _counted_pieces(rows: DataFrame) -> DataFrame:
+    """``at, places, toxic, clean``: each task's texts of either class that hold a slot.
+
+    A row has the slots from ``at`` on that the task has met, packed, so a task hands on ``2**BITS / PIECE`` rows at most.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, last = np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
+        held, last = np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(1 << BITS, dtype=np.int32)
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 slots = gram_slots(text)
-                places = np.arange(len(slots))
+                places = np.arange(len(slots), dtype=np.int32)
                 last[slots] = places
                 held[label, slots[last[slots] == places]] += 1  # each slot once, at its last place
-        slots = np.flatnonzero(held.any(axis=0))
-        yield pd.DataFrame({"slot": slots, "toxic": held[1, slots], "clean": held[0, slots]})
+        for at in range(0, 1 << BITS, PIECE):
+            clean, toxic = held[:, at : at + PIECE]
+            met = np.flatnonzero(clean + toxic)
+            if len(met):
+                packed = met.astype(np.uint16).tobytes(), toxic[met].tobytes(), clean[met].tobytes()
+                yield pd.DataFrame([(at, *packed)], columns=["at", "places", "toxic", "clean"])
+
+    return rows.select("text", "label").mapInPandas(count, "at int, places binary, toxic binary, clean binary")
+
 
-    counts = rows.select("text", "label").mapInPandas(count, "slot int, toxic bigint, clean bigint")
+def _class_counts(rows: DataFrame) -> DataFrame:
+    """``slot, toxic, clean``: texts of either class that hold the slot; at most 2**BITS rows.
+
+    Pieces are added up before they become rows. A task that adds holds one number for a slot and class, however many pieces it gets.
+    """
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece in batch.itertuples(index=False):
+                own = sums.setdefault(piece.at, np.zeros((2, PIECE), dtype=np.int64))
+                places = np.frombuffer(piece.places, dtype=np.uint16)
+                own[0, places] += np.frombuffer(piece.clean, dtype=np.int64)
+                own[1, places] += np.frombuffer(piece.toxic, dtype=np.int64)
+        for at, (clean, toxic) in sums.items():
+            met = np.flatnonzero(clean + toxic)
+            yield pd.DataFrame({"slot": at + met, "toxic": toxic[met], "clean": clean[met]})
+
+    counts = _counted_pieces(rows).repartition("at").mapInPandas(add, "slot int, toxic bigint, clean bigint")
     return counts.groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 

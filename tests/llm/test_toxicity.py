@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import queries, toxicity
-from ledgerspark.llm.common import smallest_hashes
+from ledgerspark.llm.common import BATCH_BYTES, SCAN_BATCH, ship_package, smallest_hashes
 from ledgerspark.scratch import materialise
 
 
@@ -95,3 +95,35 @@ def test_very_long_texts(spark):
     labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(docs, labels)
     assert {r.doc_id for r in toxicity.keep_clean(docs, model).collect()} == {i for i, _ in rows if i % 2}
+
+
+def test_class_counts_leave_a_task_in_pieces_and_are_those_of_plain_counting(spark):
+    rng = np.random.default_rng(3)
+    words = ["ash", "bole", "Cedar", "d\u00f6rr", "elm", "fir"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(60)] * 2  # copies count each
+    rows = [(text, int(i % 7 == 0)) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "text string, label int").repartition(5)
+    pieces = toxicity._counted_pieces(frame).groupBy("at").count().collect()
+    assert 1 < len(pieces) <= (1 << toxicity.BITS) // toxicity.PIECE and max(r["count"] for r in pieces) <= 5
+    plain = np.zeros((2, 1 << toxicity.BITS), dtype=np.int64)
+    for text, label in rows:
+        plain[label, toxicity.held_slots(text)] += 1
+    found = toxicity._class_counts(frame).collect()
+    assert len(found) == np.count_nonzero(plain.any(axis=0))
+    assert all((r.clean, r.toxic) == tuple(plain[:, r.slot]) for r in found)
+    assert toxicity._class_counts(frame.limit(0)).count() == 0
+
+
+def test_workers_and_scans_hold_little_at_a_time_unless_the_session_says_otherwise(spark):
+    before = {name: spark.conf.get(name) for name in (BATCH_BYTES, SCAN_BATCH)}
+    try:
+        for name, usual, least in ((BATCH_BYTES, "67108864b", "2m"), (SCAN_BATCH, "4096", "64")):
+            spark.conf.set(name, usual)
+            ship_package(spark)
+            assert spark.conf.get(name) == least
+            spark.conf.set(name, "300")
+            ship_package(spark)
+            assert spark.conf.get(name) == "300"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
