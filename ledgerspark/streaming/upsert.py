@@ -42,7 +42,8 @@ def upsert(
     if not _complete(spark, staged):
         others = [c for c in batch.columns if c not in (*keys, order_by, partition_by)]
         # One row per partition of the table that the batch touches.
-        touched = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
+        counts = batch.groupBy(partition_by).agg(F.count("*").alias("n"))
+        touched = counts.agg(F.collect_list(F.struct(partition_by, "n")).alias("all")).first()["all"]
         rows, merged = sum(t.n for t in touched), batch
         if spark.catalog.tableExists(table):
             stored = spark.read.table(table).filter(F.col(partition_by).isin([t[0] for t in touched]))
